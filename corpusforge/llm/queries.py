@@ -59,11 +59,29 @@ def op5_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store_texts(table(spark, sf_dir, "documents").select("doc_id", "text"), with_media=False, keep=["doc_id"])
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .decontam import find_leaks
+
+    return find_leaks(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"), keep=["doc_id"])
+
+
+def op7_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .neardup import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .lm import score_texts
+
+    return score_texts(table(spark, sf_dir, "documents").select("doc_id", "text"), id_remainder(7) != 2)
+
+
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .piece_bpe import encode_pieces
 
     return encode_pieces(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path("piece_bpe_32k.model"), with_ids=False, keep=["doc_id"])
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_token_counts, op3_sharding, op4_toxicity, op5_media_columns, op10_sentencepiece)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_decontamination, op2_token_counts, op3_sharding, op4_toxicity, op5_media_columns, op7_minhash_dedup, op8_lm_scoring, op10_sentencepiece)}
 ORACLE_SQL: dict[str, str] = {}
