@@ -65,6 +65,13 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"), keep=["doc_id"])
 
 
+def op6_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .secrets import default_forest, scan_secrets
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return scan_secrets(docs, default_forest(spark), path_col="source").select("doc_id", "n_candidates", "n_secrets", "secrets")
+
+
 def op7_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .neardup import near_duplicates
 
@@ -77,11 +84,20 @@ def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_texts(table(spark, sf_dir, "documents").select("doc_id", "text"), id_remainder(7) != 2)
 
 
+def op9_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files: a source is a directory, with a directory for each thousand ids and one for each fifty in it."""
+    from .licenses import inherit_licenses, match_licenses
+
+    path = F.format_string("/%s/%d/%d/%d.txt", "source", F.floor(F.col("doc_id") / 1000), F.floor(F.col("doc_id") / 50), "doc_id")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", path.alias("path"))
+    return inherit_licenses(match_licenses(docs, keep=["doc_id", "path"]))
+
+
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .piece_bpe import encode_pieces
 
     return encode_pieces(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path("piece_bpe_32k.model"), with_ids=False, keep=["doc_id"])
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_decontamination, op2_token_counts, op3_sharding, op4_toxicity, op5_media_columns, op7_minhash_dedup, op8_lm_scoring, op10_sentencepiece)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_decontamination, op2_token_counts, op3_sharding, op4_toxicity, op5_media_columns, op6_secret_scans, op7_minhash_dedup, op8_lm_scoring, op9_license_scans, op10_sentencepiece)}
 ORACLE_SQL: dict[str, str] = {}
