@@ -1,0 +1,152 @@
+"""Operators that learn or search: against brute force and on held-out cases."""
+
+import math
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from corpusforge.llm import decontam, licenses, lm, queries, secrets, toxicity
+
+
+def test_search_equals_scoring_everything():
+    rnd = random.Random(2)
+    vocabulary = [f"w{i}" for i in range(300)]
+    word = lambda: vocabulary[min(int(rnd.expovariate(0.02)), 299)]
+    items = [" ".join(word() for _ in range(rnd.randint(3, 50))) for _ in range(90)]
+    index = decontam.Index(list(range(90)), items)
+    import pyarrow as pa
+
+    hits = 0
+    for trial in range(40):
+        base = [word() for _ in range(60)]
+        if trial % 2:
+            base[10:10] = items[rnd.randrange(90)].split()
+        words, _ = decontam._words(pa.array([" ".join(base)]))
+        terms = sorted(set(index.lookup(words).tolist()) - {-1})
+        score = Counter()
+        for t in terms:
+            for block in index.postings[t].values():
+                for item, value in block:
+                    score[item] += value
+        expected = {i for i, s in score.items() if s >= 1 - 1e-9}
+        found = {i for block in range(index.n_blocks) for i, _ in index.wand(terms, block)}
+        assert found == expected
+        assert all(index.maxima[terms][:, i // index.size].sum() >= s - 1e-9 for i, s in score.items())
+        hits += len(found)
+    assert hits > 20
+
+
+def test_leaks(spark, odd):
+    rnd = random.Random(4)
+    word = lambda: "".join(rnd.choice("abcdefgh") for _ in range(5))
+    items = [" ".join(word() for _ in range(n)) for n in (1, 2, 6, 20, 45, 90)] + ["What is it that we ask here today?\nAnswer: nobody can really know that"]
+    bench = spark.createDataFrame([*enumerate(items), (50, None), (None, "x y z"), (51, items[3])], "item_id long, text string")
+    filler = lambda n: " ".join(word() for _ in range(n))
+    texts = [f"{filler(100)} {items[k].upper()}!! {filler(150)}" for k in range(7)]
+    texts += [filler(300), items[4][: len(items[4]) // 3], "What is it that we ask here today? " + filler(30), *[" ".join(items[4].split()[:-1])]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.item_ids for r in decontam.find_leaks(docs, bench).collect()}
+    assert got == {0: [0], 1: [1], 2: [2], 3: [3, 51], 4: [4], 5: [5], 6: [6], 7: [], 8: [], 9: [], 10: [4]}
+    assert decontam.find_leaks(odd, bench).where("leaked").count() == 0 and decontam.find_leaks(odd.limit(0), bench).count() == 0
+    assert decontam.find_leaks(odd, bench.limit(0)).where("leaked").count() == 0
+
+
+def test_folding():
+    assert toxicity.fold("ІDIОТ 1d10t $tup1d ｉｄｉｏｔ id​iot") == "idiot idiot stupid idiot idiot"
+    assert toxicity.fold("stupid$$$ x!") == "stupid$$$ x!"
+    lexicon = toxicity.Lexicon({"trash": 2.0, "clown": 3.0})
+    assert [h[3] for h in lexicon.hits("a TR4SH. trash can, trashy clown fish clоwn")[0]] == ["trash", "clown"]
+
+
+def test_toxicity_learns(spark, odd):
+    rnd = random.Random(9)
+    word = lambda: "".join(rnd.choice(["ba", "do", "li", "me", "ru"]) for _ in range(3))
+    bad = ["zorgle", "plimf", "krand"]
+    rows = []
+    for i in range(600):
+        toxic = i % 5 == 0
+        words = [word() for _ in range(rnd.randint(10, 120))]
+        for _ in range(3 * toxic):
+            words.insert(rnd.randrange(len(words)), rnd.choice(bad).replace("o", rnd.choice("o0")))
+        rows.append((i, " ".join(words), int(toxic)))
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    lexicon = toxicity.learn_lexicon(df.where("doc_id < 400"))
+    assert set(bad) <= set(lexicon.weights)
+    held = toxicity.score_toxicity(df.where("doc_id >= 400"), lexicon).collect()
+    assert all(r.predicted == r.toxic and 0 <= r.score <= 1 for r in held)
+    out = toxicity.score_toxicity(odd, lexicon)
+    assert out.count() == odd.count() and out.columns.count("score") == 1 and {r.toxic_hits for r in out.where("text IS NULL OR text = ''").collect()} == {0}
+    assert toxicity.score_toxicity(odd.limit(0), lexicon).count() == 0
+    assert toxicity.learn_lexicon(df.limit(0)).weights.keys() == set(toxicity.SEED_LEXICON)
+
+
+def test_forest_on_held_out_findings(spark, odd):
+    model = secrets.default_forest(spark)
+    held = secrets.labelled_findings(spark, 6000).where("id >= 4000")
+    p = held.select("label", secrets.probability(model, "candidate", "before", "after", "path").alias("p"))
+    assert p.where("(p >= 0.5) = (label = 1)").count() >= 0.98 * p.count()
+    key = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff"
+    texts = [f'x token = "{key}" y API_KEY = "{key[::-1]}"', f"see commit {key} there", "card 4785380592391139 and 152.143.123.131", f'token = "{key}"' * 50, None, ""]
+    docs = spark.createDataFrame([(i, t, None) for i, t in enumerate(texts)], "doc_id long, text string, source string")
+    got = {r.doc_id: r for r in secrets.scan_secrets(docs, model, path_col="source", redact=True).collect()}
+    assert got[0].redacted == 'x token = "[SECRET]" y API_KEY = "[SECRET]"' and [texts[0][s.start : s.start + s.length] for s in got[0].secrets] == [key, key[::-1]]
+    assert got[1].n_secrets == got[2].n_secrets == 0 and got[1].n_candidates == 1 and got[2].redacted == texts[2]
+    assert got[3].n_secrets == 50 and key not in got[3].redacted and got[4].redacted is None and got[5].redacted == "" and got[4].n_candidates == 0
+    out = secrets.scan_secrets(odd, model)
+    assert out.count() == odd.count() and out.where("n_secrets > 0").select("doc_id").collect()[0][0] == 8 and secrets.scan_secrets(odd.limit(0), model).count() == 0
+    assert not re.search("Python|Pandas|Arrow", out._jdf.queryExecution().executedPlan().toString())
+
+
+def test_licenses(spark, odd):
+    rows = [("/a/LICENSE", "Released under the MIT License."), ("/a/b/c/x.py", "some code here"), ("/a/b/LICENSE", "Licensed under the Apache License, Version 2.0."), ("/a/y.py", "more code, LICENSED under CC BY-NC 4.0!! and more words that follow on and on in the text"), ("/z/w.py", "This license is a word only"), (None, "nothing"), ("/a/q/r.txt", None)]
+    df = spark.createDataFrame(rows, "path string, text string")
+    got = {r.path: (r.effective_license, r.license_origin, r.license_dir) for r in licenses.inherit_licenses(licenses.match_licenses(df)).collect()}
+    assert got == {"/a/LICENSE": ("MIT", "own", "/a"), "/a/b/c/x.py": ("Apache-2.0", "inherited", "/a/b"), "/a/b/LICENSE": ("Apache-2.0", "own", "/a/b"), "/a/y.py": ("CC-BY-NC-4.0", "own", "/a"), "/z/w.py": (None, "none", None), None: (None, "none", None), "/a/q/r.txt": ("MIT", "inherited", "/a")}
+    out = licenses.match_licenses(odd)
+    assert out.count() == odd.count() and out.where("license IS NOT NULL").select("doc_id", "license").collect()[0] == (9, "MIT") and licenses.match_licenses(odd.limit(0)).count() == 0
+
+
+def test_cosine_is_that_of_all_stretches():
+    t = licenses.default_templates()
+    rnd = random.Random(1)
+    for _ in range(30):
+        words = [rnd.choice(["the", "license", "mit", "under", "released", "version", "gnu", "public", "cat", "general", "licensed"]) for _ in range(rnd.randint(1, 25))]
+        best = 0.0
+        for _, size, vector in t.vectors:
+            for s in range(max(1, len(words) - size + 1)):
+                part = words[s : s + size]
+                if licenses.CUES & set(part):
+                    c = Counter(part)
+                    norm = math.sqrt(sum((k * t.idf.get(w, t.unseen)) ** 2 for w, k in c.items()))
+                    best = max(best, sum(vector.get(w, 0) * k * t.idf.get(w, t.unseen) for w, k in c.items()) / norm)
+        assert abs(t.best(words)[1] - best) < 1e-9
+
+
+def test_language_model(spark, corpus, odd):
+    out = {r.doc_id: r for r in lm.score_texts(corpus, queries.id_remainder(7) != 2, head=40).collect()}
+    tokens = {r.doc_id: [*re.findall(r"[^\x20\x09-\x0D]+", r.text), None] for r in corpus.collect()}
+    seen = Counter(t for i, ts in tokens.items() if zlib.crc32(str(i).encode()) % 7 != 2 for t in ts)
+    n, v = sum(seen.values()), len(seen)
+    for i, ts in tokens.items():
+        r = out[i]
+        assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (zlib.crc32(str(i).encode()) % 7 == 2, len(ts), sum(seen[t] > 0 for t in ts), n)
+        assert abs(r.base_score - sum(math.log10((seen[t] + 1) / (n + v + 1)) for t in ts)) < 1e-6 and r.score < 0
+    assert sum(r.score - r.base_score for r in out.values()) > 0
+    rows = lm.score_texts(odd, F.col("doc_id") < 9).collect()
+    assert len(rows) == odd.count() and {r.n_tokens for r in rows if r.doc_id in (0, 1, 2, 99)} == {1}
+    assert all(r.score == r.base_score == 0 for r in lm.score_texts(odd, F.lit(False)).collect() if r.n_tokens == 1) and lm.score_texts(odd.limit(0), F.lit(True)).count() == 0
+
+
+def test_probabilities_sum_to_one():
+    rnd = np.random.default_rng(1)
+    counts = rnd.integers(1, 50, 20).astype(float)
+    classes = rnd.integers(0, 4, 20)
+    mass = np.append(np.bincount(classes, counts + 1, minlength=4), 7 + 5 + 1.0)  # five tail words with seven tokens, and the unknown
+    weights = rnd.normal(0, 1, (lm.FEATURES, 5)).astype(np.float32)
+    p = lm._probabilities(weights, np.log(mass / mass.sum()).astype(np.float32), np.array([[1], [2], [3], [4]], np.uint16))[0]
+    tail = [(c + 1) / mass[4] for c in (1, 1, 1, 2, 2)] + [1 / mass[4]]
+    assert abs(sum(p[c] * (k + 1) / mass[c] for c, k in zip(classes, counts, strict=True)) + p[4] * sum(tail) - 1) < 1e-5
