@@ -71,7 +71,7 @@ class Index:
         n = len(lists)
         terms, which = (np.unique(np.concatenate([w for _, w, _ in lists]), return_inverse=True) if n else (np.empty(0, np.uint64), np.empty(0, np.int64)))
         self.terms = terms
-        lengths = np.array([len(w) for _, w, _ in lists])
+        lengths = np.array([len(w) for _, w, _ in lists], np.int64)
         item_of = np.repeat(np.arange(n), lengths)
         pairs, tf = np.unique(which.astype(np.int64) * max(1, n) + item_of, return_counts=True)
         term, item = pairs // max(1, n), pairs % max(1, n)
