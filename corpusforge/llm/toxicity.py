@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import math
 import unicodedata
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
@@ -34,8 +35,8 @@ SIGNS = {"@": "a", "$": "s", "!": "i", "|": "l", "€": "e", "£": "l", "+": "t"
 #: Entries known before any labels are seen, and phrases that make a hit harmless.
 SEED_LEXICON = ("idiot", "moron", "stupid", "scum", "loser", "worthless", "pathetic", "disgusting", "trash", "clown")
 EXCEPTIONS = ("trash can", "trash bin", "trash bag", "trash collection", "clown fish", "circus clown", "class clown", "pond scum", "soap scum", "loser pays")
-#: Learning: labelled rows used at most (a hash sample beyond), entries at most, least toxic rows for an entry, least lift.
-SAMPLE_ROWS, LEXICON_SIZE, LEAST_ROWS, LEAST_LIFT = 20_000, 2_000, 3, 3.0
+#: Learning: labelled rows used at most (a hash sample beyond), entries at most, least toxic rows for an entry, least lift, and how many standard deviations its toxic rows must lie above chance; rows of each label that a separate third must have to calibrate on it.
+SAMPLE_ROWS, LEXICON_SIZE, LEAST_ROWS, LEAST_LIFT, LEAST_SIGMA, LEAST_CALIBRATION = 20_000, 2_000, 3, 3.0, 7.0, 20
 
 
 @lru_cache(maxsize=1)
@@ -109,11 +110,12 @@ class Lexicon:
         return found, folded
 
     def features(self, text: str) -> tuple[float, float, float, int]:
-        """Sum of weights by hundred words (damped), log of the sum, the largest weight, and the number of hits."""
+        """Sum of weights by hundred words (damped), log of the sum, the largest weight, and the number of hits. An entry that comes again adds less and less, so that a repeated line weighs little more than one."""
         found, folded = self.hits(text)
         if not found:
             return 0.0, 0.0, 0.0, 0
-        total = sum(h[2] for h in found)
+        times = Counter(h[3] for h in found)
+        total = sum(self.weights[entry] * (1.0 + math.log(n)) for entry, n in times.items())
         words = folded.count(" ") + folded.count("\n") + 1
         return math.log1p(max(0.0, 100.0 * total / (words + 20))), math.log1p(max(0.0, total)), max(h[2] for h in found), len(found)
 
@@ -156,10 +158,17 @@ def learn_lexicon(labelled: DataFrame, text_col: str = "text", label_col: str =
     toxic, other = n.get(True, 0), n.get(False, 0)
     if not toxic or not other:
         return Lexicon(dict.fromkeys(SEED_LEXICON, 4.0), exceptions)
+    fold = F.pmod(F.xxhash64(F.lit(9), F.col(id_col)), F.lit(3)) == 0  # entries and calibration come from different rows, else chance entries look certain
+    m = {bool(r[0]): r[1] for r in rows.where(fold).groupBy(F.col(label_col) > 0).count().collect()}
+    calibrating = rows.where(fold)
+    if min(m.get(True, 0), m.get(False, 0)) >= LEAST_CALIBRATION:
+        rows, toxic, other = rows.where(~fold), toxic - m[True], other - m[False]
+    else:
+        calibrating = rows
     lift = ((F.col("toxic") + 0.5) / (toxic + 1.0)) / ((F.col("other") + 0.5) / (other + 1.0))
     counted = _words_by_class(rows, text_col, label_col).where((F.col("toxic") >= LEAST_ROWS) & (lift >= LEAST_LIFT)).withColumn("weight", F.log(lift))
     # words that are as rare as chance would make them are kept out: the lift must hold against the spread of the counts
-    sure = F.col("toxic") - (F.col("toxic") + F.col("other")) * (toxic / (toxic + other)) >= 3.0 * F.sqrt((F.col("toxic") + F.col("other")) * (toxic / (toxic + other)) * (other / (toxic + other)) + 1e-9)
+    sure = F.col("toxic") - (F.col("toxic") + F.col("other")) * (toxic / (toxic + other)) >= LEAST_SIGMA * F.sqrt((F.col("toxic") + F.col("other")) * (toxic / (toxic + other)) * (other / (toxic + other)) + 1e-9)
     best = counted.where(sure).orderBy(F.desc(F.col("weight") * F.sqrt("toxic")), "word").limit(size).collect()
     weights = {r.word: float(r.weight) for r in best}
     for word in SEED_LEXICON:
@@ -171,7 +180,7 @@ def learn_lexicon(labelled: DataFrame, text_col: str = "text", label_col: str =
             f = [lexicon.features(t)[:3] for t in texts_of(batch.column(0))]
             yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in f], pa.float64()) for k in range(3)] + [batch.column(1)], names=["a", "b", "c", "y"])
 
-    table = np.array([tuple(r) for r in rows.select(text_col, (F.col(label_col) > 0).cast("int").alias("y")).mapInArrow(featurise, "a double, b double, c double, y int").collect()])  # four numbers for each sampled row
+    table = np.array([tuple(r) for r in calibrating.select(text_col, (F.col(label_col) > 0).cast("int").alias("y")).mapInArrow(featurise, "a double, b double, c double, y int").collect()])  # four numbers for each sampled row
     table = table[np.lexsort(table.T)]
     lexicon.model = _logistic(table[:, :3], table[:, 3])
     return lexicon
