@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .oracle import ORACLE_SQL as ORACLE_SQL
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -100,4 +102,3 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_decontamination, op2_token_counts, op3_sharding, op4_toxicity, op5_media_columns, op6_secret_scans, op7_minhash_dedup, op8_lm_scoring, op9_license_scans, op10_sentencepiece)}
-ORACLE_SQL: dict[str, str] = {}
