@@ -10,6 +10,7 @@ import zipfile
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _PACKAGE = Path(__file__).resolve().parent
 _SHIPPED: set[str] = set()
@@ -67,6 +68,15 @@ def drop_dir(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+#: Rows of ids that a broadcast may have: some tens of MB.
+BROADCAST_ROWS = 1_000_000
+
+
+def small_side(ids: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
+    """A table of ids for a join with a large one: marked for broadcast if it has `most` rows or fewer, else left to a shuffled join. Counts the rows; give it a written table."""
+    return F.broadcast(ids) if ids.count() <= most else ids
+
+
 class Workspace:
     """Written tables in the shared folder: they cut lineage and survive lost executors.
 
