@@ -1,7 +1,7 @@
 """Near-duplicate groups by MinHash.
 
 One permutation fills all bins of a signature; empty bins borrow from a full one by optimal densification. Bands of the signature are bucket
-keys. A bucket of n texts gives at most 2(n - 1) candidate edges, to two centres, never all its pairs. Every candidate is confirmed on the full
+keys. A bucket of n texts gives at most n - 1 candidate edges, to one centre, never all its pairs. Every candidate is confirmed on the full
 sets of shingles. Buckets whose texts did not all become linked get further centres until a round finds no new link.
 
 Texts with equal sets are one class from the start, so thousands of copies are one member of a bucket. Nothing of the size of the corpus comes to
@@ -155,21 +155,21 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     if repeats:
         one = F.min_by(F.struct("n_shingles", "set_a", "set_b", "bands"), F.struct("set_a", "set_b")).alias("one")
         usable = work.write(usable.groupBy("id").agg(one).select("id", "one.*"), "usable")
-    classes = usable.groupBy("set_a", "set_b").agg(F.min("id").alias("cls"))
-    member = work.write(usable.select("id", "set_a", "set_b").join(classes, ["set_a", "set_b"]).select("id", "cls"), "members")
-    leaders = usable.join(member.where("id = cls").select("id"), "id", "left_semi").select(F.col("id").alias("cls"), "n_shingles", F.col("bands"))
+    # what a join needs by key is written first: then both sides are dealt anew and a key with very many rows can be split
+    copied = work.write(usable.groupBy("set_a", "set_b").agg(F.min("id").alias("cls"), F.count("*").alias("n")).where("n > 1").drop("n"), "classes")
+    member = work.write(usable.select("id", "set_a", "set_b").join(copied, ["set_a", "set_b"], "left").select("id", F.coalesce("cls", "id").alias("cls")), "members")
+    leaders = usable.join(member.where("id <> cls").select("id"), "id", "left_anti").select(F.col("id").alias("cls"), "n_shingles", F.col("bands"))
 
     listed = leaders.select("cls", "n_shingles", F.explode("bands").alias("bucket"))
-    crowded = listed.groupBy("bucket").agg(F.count("*").alias("crowd")).where("crowd > 1")
+    crowded = work.write(listed.groupBy("bucket").agg(F.count("*").alias("crowd")).where("crowd > 1"), "crowded")
     rows_in = work.write(listed.join(crowded, "bucket"), "buckets")  # only buckets with company
     # a text that many others resemble shares large buckets with them in most bands: it makes the best centre
     weight = rows_in.groupBy("cls").agg(F.sum("crowd").alias("pull"))
     placed = work.write(rows_in.join(weight, "cls").select("bucket", "cls", "n_shingles", "pull"), "placed")
-    work.drop("buckets")
+    work.drop("buckets", "crowded", "classes")
 
     centre = lambda order: F.min_by(F.struct("cls", "n_shingles"), order)
     by_pull = F.struct(-F.col("pull"), F.col("cls"))
-    by_chance = F.xxhash64("cls", "bucket")
     tested: DataFrame | None = None
     links: DataFrame | None = None
     labels: DataFrame | None = None
@@ -178,13 +178,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     while True:
         if labels is None:
             pool = placed
-            centres = pool.groupBy("bucket").agg(F.array(centre(by_pull), centre(by_chance)).alias("centres"))
+            centres = pool.groupBy("bucket").agg(F.array(centre(by_pull)).alias("centres"))
         else:
             # buckets whose members lie in more than one component: the next centre is the best one outside the largest centre's component
             known = placed.join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
             mixed = known.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min_by("component", by_pull).alias("led")).where("low <> high")
-            pool = work.write(known.join(mixed.select("bucket", "led"), "bucket"), f"pool_{turn}")
+            mixed = work.write(mixed.select("bucket", "led"), f"mixed_{turn}")
+            pool = work.write(known.join(mixed, "bucket"), f"pool_{turn}")
             centres = pool.where("component <> led").groupBy("bucket").agg(F.array(centre(F.xxhash64(F.lit(turn), F.col("cls"), F.col("bucket")) if turn > 1 else by_pull)).alias("centres"))
+        centres = work.write(centres, f"centres_{turn}")
         stars = pool.join(centres, "bucket").select("cls", "n_shingles", *(["component"] if labels is not None else []), F.explode(F.array_distinct("centres")).alias("centre"))
         near = F.col("n_shingles") * 100 >= F.col("centre.n_shingles") * threshold
         edges = (
@@ -197,6 +199,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             inside = labels.select(F.col("node").alias("a"), F.col("component").alias("ca")), labels.select(F.col("node").alias("b"), F.col("component").alias("cb"))
             edges = edges.join(inside[0], "a", "left").join(inside[1], "b", "left").where("coalesce(ca, a) <> coalesce(cb, b)").select("a", "b")
         edges = work.write(edges, f"edges_{turn}")
+        work.drop(f"centres_{turn}", f"mixed_{turn}")
         if edges.isEmpty():
             break
         nodes = edges.select(F.col("a").alias("id")).unionByName(edges.select(F.col("b").alias("id"))).distinct()
