@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..runtime import Workspace, ship_package
+from ..runtime import Workspace, ship_package, small_side
 from .wordhash import mix, separators, shingle_hashes, stretches, text_buffer, word_hashes
 
 #: 51 bands of 5 rows: a pair at similarity 0.75 shares no band with probability 1e-6.
@@ -202,14 +202,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         work.drop(f"centres_{turn}", f"mixed_{turn}")
         if edges.isEmpty():
             break
-        nodes = edges.select(F.col("a").alias("id")).unionByName(edges.select(F.col("b").alias("id"))).distinct()
-        wanted = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).join(nodes, "id", "left_semi")
+        nodes = work.write(edges.select(F.col("a").alias("id")).unionByName(edges.select(F.col("b").alias("id"))).distinct(), f"nodes_{turn}")
+        wanted = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).join(small_side(nodes), "id", "left_semi")
         sets = full_sets(wanted, "id", "text", size)
         if repeats:
             sets = sets.join(usable.select("id", "set_a", "set_b"), ["id", "set_a", "set_b"], "left_semi").dropDuplicates(["id"])
         sets = work.write(sets, f"sets_{turn}")
         found = work.write(_confirmed(edges, sets, threshold), f"links_{turn}")
-        work.drop(f"sets_{turn}", f"pool_{turn}")
+        work.drop(f"sets_{turn}", f"pool_{turn}", f"nodes_{turn}")
         tested = edges if tested is None else tested.unionByName(edges)
         if found.isEmpty():
             break
