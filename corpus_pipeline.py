@@ -11,7 +11,7 @@ from corpusforge.llm.neardup import near_duplicates
 from corpusforge.llm.piece_bpe import encode_pieces
 from corpusforge.llm.secrets import default_forest, scan_secrets
 from corpusforge.llm.toxicity import score_toxicity
-from corpusforge.runtime import Workspace
+from corpusforge.runtime import Workspace, small_side
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -24,8 +24,9 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates, that with the smallest id; a document that occurs again under its id stays once. Those without an id stay."""
-    gone = near_duplicates(docs).where("NOT kept").select("doc_id").distinct()
-    left = docs.join(gone, "doc_id", "left_anti")
+    work = Workspace(spark)
+    gone = work.write(near_duplicates(docs).where("NOT kept").select("doc_id").distinct(), "gone")
+    left = docs.join(small_side(gone), "doc_id", "left_anti")
     if not docs.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").isEmpty():
         known = left.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
         left = known.unionByName(left.where("doc_id IS NULL"))
