@@ -48,11 +48,21 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def toxicity_lexicon(spark: SparkSession, sf_dir: str, docs: DataFrame):
-    """Learned from labelled rows outside the held-out third."""
-    from .toxicity import learn_lexicon
+    """Learned from labelled rows outside the held-out third.
+
+    The labels are sampled before they meet the texts (SAMPLE_ROWS bounds the broadcast), and the labelled texts are written once for the passes over them: the corpus itself is never shuffled.
+    """
+    from ..runtime import Workspace
+    from .toxicity import SAMPLE_ROWS, learn_lexicon
 
     labels = table(spark, sf_dir, "labels").select("doc_id", "toxic").where(id_remainder(3) != 1)
-    return learn_lexicon(docs.select("doc_id", "text").join(labels, "doc_id"))
+    share = max(1, -(-labels.count() // SAMPLE_ROWS))
+    sample = labels.where(F.pmod(F.xxhash64(F.lit(7), "doc_id"), F.lit(share)) == 0)
+    work = Workspace(spark)
+    try:
+        return learn_lexicon(work.write(docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id"), "labelled"))
+    finally:
+        work.close()
 
 
 def op5_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
