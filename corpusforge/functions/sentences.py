@@ -9,9 +9,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
+from ..runtime import ship_package
 from .text import WS, strip
 
 #: Abbreviations whose full stop ends no sentence.
@@ -93,6 +94,8 @@ def fold_seed(sents: list[str], total: int, seed: int = SEED_TOKENS) -> tuple[st
 def chunks(c: Column, most: int = CHUNK, overlap: int = OVERLAP) -> Column:
     """Chunks of whole sentences of about `most` characters that share `overlap` sentences; those of LEAST characters or fewer are left out."""
 
+    ship_package(SparkSession.active())
+
     @F.pandas_udf("array<string>")
     def fold(lists: pd.Series) -> pd.Series:
         return lists.map(lambda s: fold_chunks(list(s), most, overlap))
@@ -103,6 +106,8 @@ def chunks(c: Column, most: int = CHUNK, overlap: int = OVERLAP) -> Column:
 def token_chunks(c: Column, most: int = TOKEN_CHUNK) -> Column:
     """Chunks of whole sentences of up to `most` tokens (characters by four), without overlap."""
 
+    ship_package(SparkSession.active())
+
     @F.pandas_udf("array<string>")
     def fold(lists: pd.Series) -> pd.Series:
         return lists.map(lambda s: fold_token_chunks(list(s), most))
@@ -113,6 +118,8 @@ def token_chunks(c: Column, most: int = TOKEN_CHUNK) -> Column:
 def seed_completion(c: Column, seed: int = SEED_TOKENS) -> Column:
     """struct(seed, completion) of a chunk, null where it can't be split."""
 
+    ship_package(SparkSession.active())
+
     @F.pandas_udf("struct<seed string, completion string>")
     def fold(lists: pd.Series, totals: pd.Series) -> pd.DataFrame:
         parts = [fold_seed(list(s), int(n), seed) or (None, None) for s, n in zip(lists, totals, strict=True)]
