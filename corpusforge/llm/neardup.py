@@ -1,8 +1,9 @@
 """Near-duplicate groups by MinHash.
 
 One permutation fills all bins of a signature; empty bins borrow from a full one by optimal densification. Bands of the signature are bucket
-keys. A bucket of n texts gives at most n - 1 candidate edges, to one centre, never all its pairs. Every candidate is confirmed on the full
-sets of shingles. Buckets whose texts did not all become linked get further centres until a round finds no new link.
+keys. A bucket's texts are compared with a centre, not all with each other. Every candidate is confirmed on the full sets of shingles. A bucket
+whose texts lie in more than one component gets further centres, about twice as many in each turn, until those of its texts that were no
+centre lie in one component: no two texts of one bucket that are linked stay apart.
 
 Texts with equal sets are one class from the start, so thousands of copies are one member of a bucket. Nothing of the size of the corpus comes to
 the driver: signatures, edges and labels are tables in the shared work folder.
@@ -168,55 +169,64 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     placed = work.write(rows_in.join(weight, "cls").select("bucket", "cls", "n_shingles", "pull"), "placed")
     work.drop("buckets", "crowded", "classes")
 
-    centre = lambda order: F.min_by(F.struct("cls", "n_shingles"), order)
     by_pull = F.struct(-F.col("pull"), F.col("cls"))
     tested: DataFrame | None = None
     links: DataFrame | None = None
     labels: DataFrame | None = None
-    sets: DataFrame | None = None
+    pool = placed  # each bucket's members that have not been its centre yet, with their component
     turn = 0
     while True:
-        if labels is None:
-            pool = placed
-            centres = pool.groupBy("bucket").agg(F.array(centre(by_pull)).alias("centres"))
+        if turn == 0:
+            centres = pool.groupBy("bucket").agg(F.min_by(F.struct("cls", "n_shingles"), by_pull).alias("centre"))
+            stars = lambda centres: pool.join(centres, "bucket").where(F.col("cls") != F.col("centre.cls"))
         else:
-            # buckets whose members lie in more than one component: the next centre is the best one outside the largest centre's component
-            known = placed.join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
-            mixed = known.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min_by("component", by_pull).alias("led")).where("low <> high")
-            mixed = work.write(mixed.select("bucket", "led"), f"mixed_{turn}")
-            pool = work.write(known.join(mixed, "bucket"), f"pool_{turn}")
-            centres = pool.where("component <> led").groupBy("bucket").agg(F.array(centre(F.xxhash64(F.lit(turn), F.col("cls"), F.col("bucket")) if turn > 1 else by_pull)).alias("centres"))
+            # buckets whose members left lie in more than one component: further centres are outside the component with most of them
+            known = pool.select("bucket", "cls", "n_shingles", "pull")
+            known = known.withColumn("component", F.col("cls")) if labels is None else known.join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
+            parts = known.groupBy("bucket", "component").agg(F.count("*").alias("n"))
+            mixed = parts.groupBy("bucket").agg(F.count("*").alias("parts"), F.max_by("component", F.struct("n", "component")).alias("led"), (F.sum("n") - F.max("n")).alias("outside")).where("parts > 1")
+            mixed = work.write(mixed.select("bucket", "led", "outside"), f"mixed_{turn}")
+            if mixed.isEmpty():
+                break
+            left = work.write(known.join(mixed, "bucket"), f"pool_{turn}")
+            work.drop(f"left_{turn - 1}")
+            pool = left
+            outside = pool.where("component <> led")
+            if turn == 1:
+                centres = outside.groupBy("bucket").agg(F.min_by(F.struct("cls", "n_shingles", "component"), by_pull).alias("centre"))
+            else:
+                # about twice as many in each turn, so that all have had theirs after a logarithm of turns
+                chosen = F.pmod(F.xxhash64(F.lit(turn), F.col("cls"), F.col("bucket")), F.col("outside")) < 2 ** (turn - 1)
+                centres = outside.where(chosen).select("bucket", F.struct("cls", "n_shingles", "component").alias("centre"))
+            stars = lambda centres: pool.join(centres, "bucket").where(F.col("component") != F.col("centre.component"))
         centres = work.write(centres, f"centres_{turn}")
-        stars = pool.join(centres, "bucket").select("cls", "n_shingles", *(["component"] if labels is not None else []), F.explode(F.array_distinct("centres")).alias("centre"))
         near = F.col("n_shingles") * 100 >= F.col("centre.n_shingles") * threshold
         edges = (
-            stars.where((F.col("cls") != F.col("centre.cls")) & near & (F.col("centre.n_shingles") * 100 >= F.col("n_shingles") * threshold))
+            stars(centres).where(near & (F.col("centre.n_shingles") * 100 >= F.col("n_shingles") * threshold))
             .select(F.least("cls", "centre.cls").alias("a"), F.greatest("cls", "centre.cls").alias("b"))
-            .groupBy("a", "b").agg(F.count("*").alias("bands")).select("a", "b")
+            .distinct()
         )
         if tested is not None:
             edges = edges.join(tested, ["a", "b"], "left_anti")
-            inside = labels.select(F.col("node").alias("a"), F.col("component").alias("ca")), labels.select(F.col("node").alias("b"), F.col("component").alias("cb"))
-            edges = edges.join(inside[0], "a", "left").join(inside[1], "b", "left").where("coalesce(ca, a) <> coalesce(cb, b)").select("a", "b")
         edges = work.write(edges, f"edges_{turn}")
-        work.drop(f"centres_{turn}", f"mixed_{turn}")
-        if edges.isEmpty():
-            break
-        nodes = work.write(edges.select(F.col("a").alias("id")).unionByName(edges.select(F.col("b").alias("id"))).distinct(), f"nodes_{turn}")
-        wanted = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).join(small_side(nodes), "id", "left_semi")
-        sets = full_sets(wanted, "id", "text", size)
-        if repeats:
-            sets = sets.join(usable.select("id", "set_a", "set_b"), ["id", "set_a", "set_b"], "left_semi").dropDuplicates(["id"])
-        sets = work.write(sets, f"sets_{turn}")
-        found = work.write(_confirmed(edges, sets, threshold), f"links_{turn}")
-        work.drop(f"sets_{turn}", f"pool_{turn}", f"nodes_{turn}")
-        tested = edges if tested is None else tested.unionByName(edges)
-        if found.isEmpty():
-            break
-        links = found if links is None else links.unionByName(found)
-        labels = components(work, links, f"cc_{turn}")
+        # a centre has met every member of its bucket, now or before: what is left are the pairs of the others
+        pool = work.write(pool.join(centres.select("bucket", F.col("centre.cls").alias("cls")), ["bucket", "cls"], "left_anti"), f"left_{turn}")
+        work.drop(f"centres_{turn}", f"mixed_{turn}", f"pool_{turn}", *(["placed"] if turn == 0 else []))
+        if not edges.isEmpty():
+            nodes = work.write(edges.select(F.col("a").alias("id")).unionByName(edges.select(F.col("b").alias("id"))).distinct(), f"nodes_{turn}")
+            wanted = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).join(small_side(nodes), "id", "left_semi")
+            sets = full_sets(wanted, "id", "text", size)
+            if repeats:
+                sets = sets.join(usable.select("id", "set_a", "set_b"), ["id", "set_a", "set_b"], "left_semi").dropDuplicates(["id"])
+            sets = work.write(sets, f"sets_{turn}")
+            found = work.write(_confirmed(edges, sets, threshold), f"links_{turn}")
+            work.drop(f"sets_{turn}", f"nodes_{turn}")
+            tested = edges if tested is None else tested.unionByName(edges)
+            if not found.isEmpty():
+                links = found if links is None else links.unionByName(found)
+                labels = components(work, links, f"cc_{turn}")
         turn += 1
-    work.drop("placed")
+    work.drop(f"mixed_{turn}", f"left_{turn - 1}")
     linked = member.select("id", "cls") if labels is None else member.join(labels.withColumnRenamed("node", "cls"), "cls", "left").select("id", F.coalesce("component", "cls").alias("cls"))
     return sig.select("id", "n_shingles").join(linked.where("id <> cls"), "id", "left").select(
         F.col("id").alias(id_col), "n_shingles",

@@ -8,6 +8,7 @@ from itertools import combinations
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -170,6 +171,24 @@ def test_three_of_four_shingles_are_linked(spark):
     assert {r.doc_id: r.component_id for r in neardup.near_duplicates(df).collect()} == {7: 7, 9: 7, 12: 12}
 
 
+def test_links_of_a_bucket_led_by_other_texts(spark):
+    """One bucket for all: its first centres are linked with nothing, while texts behind them are linked with each other."""
+    probes = neardup.probe_order(1)
+    for seed in range(1000):
+        rnd = np.random.default_rng(seed)
+        words = lambda n: [f"w{k}" for k in rnd.integers(0, 10**9, n)]
+        shared, families = words(60), [words(16) for _ in range(8)]
+        texts = [" ".join(shared + f) for f in families] + [" ".join([*shared, *f[:-1], "other"]) for f in families[3:]]
+        sets = plain_sets(enumerate(texts))
+        hashed = [neardup.shingle_hashes(*neardup.word_hashes(*neardup.text_buffer(pa.array([t])), neardup.separators()), 5) for t in texts]
+        if len({int(neardup.signature(next(iter(h)), 1, probes)[0]) for h in hashed}) == 1:
+            break
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    expected = plain_components(sets)
+    assert len(set(expected.values())) == 8
+    assert {r.doc_id: r.component_id for r in neardup.near_duplicates(df, bands=1, rows=1).collect()} == expected
+
+
 def test_signature_estimates_similarity():
     rnd = np.random.default_rng(3)
     probes = neardup.probe_order(255)
