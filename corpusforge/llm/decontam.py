@@ -2,8 +2,8 @@
 
 The index holds the items in blocks. For each passage the sum of its words' block maxima bounds the score of all items of a block, for all
 blocks at once; only blocks that could reach the threshold are searched by WAND, with the block's own maxima. The threshold is absolute
-for each item (a share of the score that the item's own text has), so all items above it are found. A hit counts once the passage and its surroundings
-hold enough of the item's question and of its answer.
+for each item (a share of the score that the item's own text has), so all items above it are found. Items too long for a passage are in indexes of
+their own, whose passages hold them whole. A hit counts once the passage and its surroundings hold enough of the item's question and of its answer.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from pyspark.sql.types import ArrayType, BooleanType, DoubleType, LongType, Stru
 from .arrow import append
 from .wordhash import mix, separators, stretches, text_buffer, word_hashes
 
-#: BM25; passage length and step in words; share of an item's own score; blocks at most; words of an overlap gram; least shares of question and answer.
+#: BM25; passage length and step in words (for items of up to PASSAGE words; see `passage_of`); share of an item's own score; blocks at most; words of an overlap gram; least shares of question and answer.
 K1, B, PASSAGE, STEP, SHARE, BLOCKS, GRAM, OVERLAP = 1.2, 0.75, 64, 32, 0.5, 32, 3, 0.6
 #: An item's last words count as its answer where no marker says which part that is.
 ANSWER_SHARE = 0.3
@@ -30,6 +30,14 @@ ANSWER_MARKERS = ("\nanswer:", "\na:", " answer:")
 INDEX_BYTES = 64 << 20
 
 
+def passage_of(n_words: int) -> int:
+    """Words of the passages that an item of so many words is searched in: for an item longer than PASSAGE the power of two (times PASSAGE) such that a passage has it whole wherever it starts, with steps of half a passage."""
+    size = PASSAGE
+    while size < n_words:
+        size *= 2
+    return size if n_words <= PASSAGE else 2 * size
+
+
 def _words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     raw, borders = text_buffer(pc.utf8_lower(texts))
     return word_hashes(raw, borders, separators("letters"))
@@ -54,7 +62,8 @@ class Item:
 class Index:
     """An inverted index with impacts divided by each item's threshold: a score of 1 reaches it."""
 
-    def __init__(self, ids: list[int], texts: list[str], share: float = SHARE, blocks: int = BLOCKS):
+    def __init__(self, ids: list[int], texts: list[str], share: float = SHARE, blocks: int = BLOCKS, passage: int = PASSAGE):
+        self.passage = passage
         lists = []
         for i, text in zip(ids, texts, strict=True):
             words, _ = _words(pa.array([text], pa.string()))
@@ -132,20 +141,21 @@ class Index:
         return found
 
 
-def passages(first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, first word, word after the last) of the passages of rows with these word borders: PASSAGE words each STEP words, the last one ends with the text."""
+def passages(first: np.ndarray, size: int = PASSAGE, step: int = STEP) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, first word, word after the last) of the passages of rows with these word borders: `size` words each `step` words, the last one ends with the text."""
     n = np.diff(first)
-    count = np.where(n > 0, 1 + np.maximum(0, -(-(n - PASSAGE) // STEP)), 0)
+    count = np.where(n > 0, 1 + np.maximum(0, -(-(n - size) // step)), 0)
     row = np.repeat(np.arange(len(n)), count)
     k = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
-    end = np.minimum(first[row] + k * STEP + PASSAGE, first[row + 1])
-    return row, np.maximum(end - PASSAGE, first[row]), end
+    end = np.minimum(first[row] + k * step + size, first[row + 1])
+    return row, np.maximum(end - size, first[row]), end
 
 
 def search(index: Index, words: np.ndarray, first: np.ndarray) -> dict[tuple[int, int], float]:
     """{(row, item's place): best score} of all verified hits in the passages of these rows."""
     hits: dict[tuple[int, int], float] = {}
-    row, start, end = passages(first)
+    size = index.passage
+    row, start, end = passages(first, size, size * STEP // PASSAGE)
     if not len(row) or not index.items:
         return hits
     term = index.lookup(words)
@@ -167,7 +177,7 @@ def search(index: Index, words: np.ndarray, first: np.ndarray) -> dict[tuple[int
                 key = (int(row[p]), place)
                 if key in hits:
                     hits[key] = max(hits[key], score)
-                elif verified(index.items[place], words[max(first[row[p]], start[p] - PASSAGE) : min(first[row[p] + 1], end[p] + PASSAGE)]):
+                elif verified(index.items[place], words[max(first[row[p]], start[p] - size) : min(first[row[p] + 1], end[p] + size)]):
                     hits[key] = score
     return hits
 
@@ -181,12 +191,18 @@ def verified(item: Item, words: np.ndarray) -> bool:
 
 
 def _indexes(items: DataFrame, id_col: str, text_col: str, share: float) -> Iterator[Index]:
-    """One index, or several where the items are more than INDEX_BYTES."""
+    """One index for each length of passages, or several where the items are more than INDEX_BYTES."""
     rows = items.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where("id IS NOT NULL AND text IS NOT NULL")
     parts = max(1, -(-(rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // INDEX_BYTES))
     for k in range(parts):
         held = rows.where(F.pmod(F.xxhash64("id"), F.lit(parts)) == k).orderBy("id", "text").collect()
-        yield Index([r.id for r in held], [r.text for r in held], share)
+        long: dict[int, list] = {}
+        if held:
+            n_words = np.diff(_words(pa.array([r.text for r in held], pa.string()))[1]).tolist()
+            for r, n in zip(held, n_words, strict=True):
+                long.setdefault(passage_of(n), []).append(r)
+        for size, rows_of in sorted(long.items()):
+            yield Index([r.id for r in rows_of], [r.text for r in rows_of], share, passage=size)
 
 
 def find_leaks(df: DataFrame, items: DataFrame, text_col: str = "text", item_id: str = "item_id", item_text: str = "text", share: float = SHARE, keep: list[str] | None = None) -> DataFrame:

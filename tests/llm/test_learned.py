@@ -55,6 +55,19 @@ def test_leaks(spark, odd):
     assert decontam.find_leaks(odd, bench.limit(0)).where("leaked").count() == 0
 
 
+def test_leaks_of_long_items(spark):
+    """Copied whole anywhere in a text, items far longer than PASSAGE are found; half of one isn't enough of its question and answer."""
+    rnd = random.Random(6)
+    word = lambda: "".join(rnd.choice("abcdefgh") for _ in range(5))
+    filler = lambda n: " ".join(word() for _ in range(n))
+    items = [filler(n) for n in (20, 64, 65, 128, 129, 131, 200, 400, 1500)]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    texts = [f"{filler(before)} {item} {filler(300)}" for item in items for before in (0, 37, 500)]
+    docs = spark.createDataFrame([*enumerate(texts), (-1, filler(3000)), (-2, filler(90) + " " + " ".join(items[7].split()[:200]) + " " + filler(90))], "doc_id long, text string")
+    got = {r.doc_id: r.item_ids for r in decontam.find_leaks(docs, bench).collect()}
+    assert got == {i: [i // 3] for i in range(len(texts))} | {-1: [], -2: []}
+
+
 def test_folding():
     assert toxicity.fold("ІDIОТ 1d10t $tup1d ｉｄｉｏｔ id​iot") == "idiot idiot stupid idiot idiot"
     assert toxicity.fold("stupid$$$ x!") == "stupid$$$ x!"
