@@ -262,7 +262,7 @@ def correction_stub(spark: SparkSession, sf: str) -> DataFrame:
 
 @query()
 def treatment_stub(spark: SparkSession, sf: str) -> DataFrame:
-    return P.treatment_reasoning(load(spark, sf, "documents").where(F.length("text") <= 2000), "doc_id", "text")
+    return P.treatment_reasoning(load(spark, sf, "documents"), "doc_id", "text")
 
 
 _ANSWERS = f"(SELECT conv_id, turn, {O.THINK} AS answer FROM conversations WHERE role = 'assistant')"

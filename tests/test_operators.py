@@ -203,3 +203,11 @@ def test_sft_and_dpo_preparation(spark):
     assert spans.count() == 32 and rep.first().total_tokens == spans.agg(F.max("token_end")).first()[0]
     pairs = preference.pairs(df, F.lit("s"), F.lit("u"), F.concat(F.lit("c" * 60), F.col("id").cast("string")), F.lit("r" * 60), "h", ["id"])
     assert P.prepare_dpo(pairs, "id", 10, 1000).count() == 10 and P.prepare_dpo(pairs, "id", 10, 10).count() == 0
+
+
+def test_treatment_has_notes_of_any_length(spark, sf):
+    from corpusforge.plans import queries
+
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    asked = {r.patient_id for r in queries.QUERIES["treatment_stub"](spark, sf).select("patient_id").collect()}
+    assert asked == {r.doc_id for r in docs.where("length(text) >= 100").select("doc_id").collect()}
