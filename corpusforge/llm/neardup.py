@@ -1,9 +1,12 @@
 """Near-duplicate groups by MinHash.
 
 One permutation fills all bins of a signature; empty bins borrow from a full one by optimal densification. Bands of the signature are bucket
-keys. A bucket's texts are compared with a centre, not all with each other. Every candidate is confirmed on the full sets of shingles. A bucket
-whose texts lie in more than one component gets further centres, about twice as many in each turn, until those of its texts that were no
-centre lie in one component: no two texts of one bucket that are linked stay apart.
+keys, and a bucket's texts are compared with one centre, not all with each other. Every candidate is confirmed on the full sets of shingles.
+
+A star finds every link of its centre, not those between the others. So buckets whose other texts still lie in more than one component are
+finished in blocks: a worker compares the byte-wide signatures of a block's texts from different components, and what could reach the
+threshold goes on, as groups of texts and never as pairs, to a count of shared shingles on full sets by matrix products. Only links come back, and of them
+no more than join components. Buckets with very many texts outside their largest component get further centres first, as long as those find links.
 
 Texts with equal sets are one class from the start, so thousands of copies are one member of a bucket. Nothing of the size of the corpus comes to
 the driver: signatures, edges and labels are tables in the shared work folder.
@@ -24,7 +27,11 @@ from .wordhash import mix, separators, shingle_hashes, stretches, text_buffer, w
 #: 51 bands of 5 rows: a pair at similarity 0.75 shares no band with probability 1e-6.
 SHINGLE, BANDS, ROWS = 5, 51, 5
 THRESHOLD = 75  # percent
-_EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
+#: Texts in one side of a block; a round of further centres pays while one in so many of its edges is a link; shingles in one side of a group that is counted at once.
+BLOCK, PAYS, GROUP_SHINGLES = 1_024, 20, 2_000_000
+#: Standard deviations that a signature's estimate may lie below the threshold.
+SLACK = 6.0
+_ALL = (1 << 64) - 1
 
 
 def probe_order(bins: int) -> np.ndarray:
@@ -92,16 +99,26 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, size: int = SHINGLE,
     return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(run, "id long, n_shingles long, set_a long, set_b long, bands array<long>")
 
 
-def full_sets(docs: DataFrame, id_col: str, text_col: str, size: int = SHINGLE) -> DataFrame:
-    """(id, set_a, set_b, shingles): each row's sorted distinct shingle hashes, and the two hashes of the whole set."""
+def full_sets(docs: DataFrame, id_col: str, text_col: str, size: int = SHINGLE, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+    """(id, set_a, set_b, bands, sketch, shingles): each row's sorted distinct shingle hashes, the two hashes of the whole set, its bucket keys, and its signature at a byte a bin."""
     ship_package(docs.sparkSession)
+    bins = bands * rows
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        probes = probe_order(bins)
+        none = np.zeros(bins, np.uint64)
         for part, sets in _row_sets(batches, size):
             whole = [_whole(s) for s in sets]
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array([w[0] for w in whole], pa.int64()), pa.array([w[1] for w in whole], pa.int64()), _lists(sets)], names=["id", "set_a", "set_b", "shingles"])
+            signed = [signature(s, bins, probes) if len(s) else none for s in sets]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    part.column(0), pa.array([w[0] for w in whole], pa.int64()), pa.array([w[1] for w in whole], pa.int64()),
+                    _lists([band_keys(v, bands, rows) for v in signed]), pa.array([v.astype(np.uint8).tobytes() for v in signed], pa.binary()), _lists(sets),
+                ],
+                names=["id", "set_a", "set_b", "bands", "sketch", "shingles"],
+            )
 
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(run, "id long, set_a long, set_b long, shingles array<long>")
+    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(run, "id long, set_a long, set_b long, bands array<long>, sketch binary, shingles array<long>")
 
 
 def components(work: Workspace, edges: DataFrame, name: str) -> DataFrame:
@@ -129,7 +146,7 @@ def components(work: Workspace, edges: DataFrame, name: str) -> DataFrame:
 
 
 def _confirmed(edges: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
-    """The candidate edges (a, b) whose sets reach the similarity; both joins can be split where a node has very many edges."""
+    """The candidate edges (a: member, b: centre) whose sets reach the similarity. A member's set is sent once for each of its edges, a centre's once to each task; both joins can be split where a node has very many edges."""
     left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("x"))
     right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("y"))
     shared = F.size(F.array_intersect("x", "y"))
@@ -141,12 +158,144 @@ def _confirmed(edges: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
     )
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = THRESHOLD, size: int = SHINGLE, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+def _merged(label: np.ndarray, i: int, others: np.ndarray) -> np.ndarray:
+    """Joins the labels of i and the others, in place; the places among `others` of one for each label that was not i's."""
+    if not len(others):
+        return others
+    there, first = np.unique(label[others], return_index=True)
+    first = first[there != label[i]]
+    if len(first):
+        label[np.isin(label, there)] = label[i]
+    return first
+
+
+def _least_estimate(n: np.ndarray, bins: int, threshold: int) -> np.ndarray:
+    """Equal bytes of two sketches below which a pair at the threshold lies SLACK standard deviations off; n: shingles of the smaller set. Borrowed bins tell nothing new, so full ones count."""
+    full = bins * -np.expm1(n * np.log1p(-1.0 / bins))
+    s = threshold / 100.0
+    return bins * (s - SLACK * 1.25 * np.sqrt(s * (1 - s) / np.maximum(full, 1.0)))
+
+
+def plausible_groups(bucket: int, side: np.ndarray, component: np.ndarray, n: np.ndarray, keys: np.ndarray, sketch: np.ndarray, threshold: int) -> list[np.ndarray]:
+    """Groups (places) of a block's texts that hold every pair from different components whose sketches let it reach the threshold and that shares no earlier bucket. With two sides only pairs across them count."""
+    m, bins = len(n), sketch.shape[1]
+    band = int((keys[0] == bucket).argmax())
+    label = np.arange(m)
+    across = side.min() != side.max()
+    for i in range(m - 1):
+        rest = np.arange(i + 1, m)
+        ok = (component[rest] != component[i]) & (n[rest] * 100 >= n[i] * threshold) & (n[i] * 100 >= n[rest] * threshold)
+        if across:
+            ok &= side[rest] != side[i]
+        rest = rest[ok]
+        if not len(rest):
+            continue
+        equal = (sketch[rest] == sketch[i]).sum(axis=1)
+        rest = rest[equal >= _least_estimate(np.minimum(n[rest], n[i]), bins, threshold)]
+        if band and len(rest):
+            rest = rest[~(keys[rest, :band] == keys[i, :band]).any(axis=1)]
+        _merged(label, i, rest)
+    order = np.argsort(label, kind="stable")
+    lead = np.flatnonzero(np.append(True, label[order][1:] != label[order][:-1]))
+    return [g for g in np.split(order, lead[1:]) if len(g) > 1]
+
+
+def shared_counts(sets: list[np.ndarray], cells: int = 1 << 23) -> np.ndarray:
+    """How many shingles each two sets share, by products of slices of their incidence matrix (shingles that only one set has are left out)."""
+    m = len(sets)
+    sizes = np.array([len(s) for s in sets])
+    if m == 2:
+        both = len(np.intersect1d(sets[0], sets[1], assume_unique=True))
+        return np.array([[sizes[0], both], [both, sizes[1]]])
+    owner = np.repeat(np.arange(m), sizes)
+    flat = np.concatenate(sets)
+    order = np.argsort(flat, kind="stable")
+    flat, owner = flat[order], owner[order]
+    new = np.append(True, flat[1:] != flat[:-1])
+    column = np.cumsum(new) - 1
+    common = np.bincount(column) > 1
+    column = (np.cumsum(common) - 1)[column[keep := common[column]]]
+    owner = owner[keep]
+    kind = np.float32 if sizes.max() < 1 << 24 else np.float64  # whole numbers stay exact
+    total = np.zeros((m, m), kind)
+    width = max(1, cells // m)
+    for start in range(0, int(common.sum()), width):
+        a, b = np.searchsorted(column, (start, start + width))
+        part = np.zeros((m, width), kind)
+        part[owner[a:b], column[a:b] - start] = 1
+        total += part @ part.T
+    return total.astype(np.int64)
+
+
+def linked_pairs(sets: list[np.ndarray], component: np.ndarray, threshold: int) -> list[tuple[int, int]]:
+    """Linked pairs (places) that join components: no more than it takes."""
+    shared = shared_counts(sets)
+    n = np.array([len(s) for s in sets])
+    label = np.unique(component, return_inverse=True)[1]
+    pairs = []
+    for i in range(len(sets) - 1):
+        others = np.arange(i + 1, len(sets))
+        others = others[shared[i, others] * 100 >= (n[i] + n[others] - shared[i, others]) * threshold]
+        pairs += [(i, int(others[k])) for k in _merged(label, i, others)]
+    return pairs
+
+
+def _in_blocks(pool: DataFrame, block: int) -> DataFrame:
+    """Members of mixed buckets (bucket, cls, n_shingles, component, led, led_n, outside) dealt to blocks, each with every other that it must meet: (bucket, lo, hi, side, cls, component, n_shingles).
+
+    Texts of a bucket's largest component (`led`) meet those outside it, and those outside meet each other. A bucket of `block` texts or fewer is one block.
+    """
+    led_parts, out_parts = f"greatest(1L, CAST(ceil(led_n / {block}) AS BIGINT))", f"greatest(1L, CAST(ceil(outside / {block}) AS BIGINT))"
+    own = f"CASE WHEN component = led THEN pmod(xxhash64(cls, 3), {led_parts}) ELSE {led_parts} + pmod(xxhash64(cls, 3), {out_parts}) END"
+    meets = (
+        f"CASE WHEN led_n + outside <= {block} THEN array(named_struct('lo', 0L, 'hi', 0L)) "
+        f"WHEN component = led THEN transform(sequence({led_parts}, {led_parts} + {out_parts} - 1), j -> named_struct('lo', side, 'hi', j)) "
+        f"ELSE concat(transform(sequence(0L, {led_parts} - 1), j -> named_struct('lo', j, 'hi', side)), transform(sequence({led_parts}, {led_parts} + {out_parts} - 1), j -> named_struct('lo', least(j, side), 'hi', greatest(j, side)))) END"
+    )
+    dealt = pool.withColumn("side", F.expr(f"CASE WHEN led_n + outside <= {block} THEN 0L ELSE {own} END"))
+    return dealt.withColumn("meet", F.explode(F.expr(meets))).select("bucket", "meet.lo", "meet.hi", "side", "cls", "component", "n_shingles")
+
+
+def _finish(work: Workspace, pool: DataFrame, sets: DataFrame, threshold: int, block: int) -> DataFrame:
+    """Links (a, b) between texts of one bucket that lie in different components: all that it takes to join those that are linked."""
+    blocks = _in_blocks(pool, block).join(sets.select(F.col("id").alias("cls"), "bands", "sketch"), "cls")
+
+    def sift(table: pa.Table) -> pa.Table:
+        of = lambda c: table.column(c).to_numpy()
+        cls, component, n = of("cls"), of("component"), of("n_shingles")
+        keys = np.stack(table.column("bands").to_numpy())
+        sketch = np.stack([np.frombuffer(x, np.uint8) for x in table.column("sketch").to_pylist()])
+        bucket, lo, hi = (table.column(c)[0].as_py() for c in ("bucket", "lo", "hi"))
+        out: list[tuple[int, int, int, int]] = []
+        for group in plausible_groups(bucket, of("side"), component, n, keys, sketch, threshold):
+            # sides of bounded size, and a group for each two of them
+            part = (np.cumsum(n[group]) - n[group]) // GROUP_SHINGLES
+            parts = np.unique(part)
+            for x in range(len(parts)):
+                for y in range(x, len(parts)):
+                    if y > x or len(parts) == 1:  # two sides hold the pairs of each of them too
+                        held = group[(part == parts[x]) | (part == parts[y])]
+                        gid = int(mix(np.array([bucket & _ALL], np.uint64) + np.uint64((lo * 1_000_003 + hi) & _ALL) + mix(np.array([int(group[0]) * 65_537 + x * 257 + y], np.uint64)))[0].view(np.int64))
+                        out += [(gid, int(cls[g]), int(component[g])) for g in held]
+        return pa.table({"gid": pa.array([o[0] for o in out], pa.int64()), "cls": pa.array([o[1] for o in out], pa.int64()), "component": pa.array([o[2] for o in out], pa.int64())})
+
+    groups = work.write(blocks.groupBy("bucket", "lo", "hi").applyInArrow(sift, "gid long, cls long, component long"), "groups")
+
+    def count(table: pa.Table) -> pa.Table:
+        cls = table.column("cls").to_numpy()
+        held = [x.view(np.uint64) for x in table.column("shingles").to_numpy()]
+        pairs = linked_pairs(held, table.column("component").to_numpy(), threshold)
+        return pa.table({"a": pa.array([int(cls[i]) for i, _ in pairs], pa.int64()), "b": pa.array([int(cls[j]) for _, j in pairs], pa.int64())})
+
+    return groups.join(sets.select(F.col("id").alias("cls"), "shingles"), "cls").groupBy("gid").applyInArrow(count, "a long, b long")
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = THRESHOLD, size: int = SHINGLE, bands: int = BANDS, rows: int = ROWS, block: int = BLOCK) -> DataFrame:
     """One row for each row of docs: `id_col`, n_shingles, component_id (the smallest id reachable over links) and kept (id = component_id).
 
     Words are runs of non-blank bytes with A-Z lower-cased; rows are linked if 100 * shared >= threshold * united distinct shingles. A text with fewer words than a shingle is one shingle;
     null, empty and blank texts have none, are linked with nothing and are kept. Rows with the same id are one document with one component; if their texts differ, the one with the smallest set hash is linked. A row without an id takes part in no link (component null, kept).
-    Extra columns are not read; an empty table gives an empty result. Texts are read whole; equal sets are equal 64-bit hashes of their shingles.
+    Extra columns are not read; an empty table gives an empty result. Texts are read whole, twice: once for signatures, once for the full sets of those that share a bucket. Equal sets are equal 64-bit hashes of their shingles.
     """
     spark = docs.sparkSession
     work = Workspace(spark)
@@ -163,70 +312,55 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     listed = leaders.select("cls", "n_shingles", F.explode("bands").alias("bucket"))
     crowded = work.write(listed.groupBy("bucket").agg(F.count("*").alias("crowd")).where("crowd > 1"), "crowded")
-    rows_in = work.write(listed.join(crowded, "bucket"), "buckets")  # only buckets with company
+    rows_in = work.write(listed.join(small_side(crowded), "bucket"), "buckets")  # only buckets with company
     # a text that many others resemble shares large buckets with them in most bands: it makes the best centre
-    weight = rows_in.groupBy("cls").agg(F.sum("crowd").alias("pull"))
-    placed = work.write(rows_in.join(weight, "cls").select("bucket", "cls", "n_shingles", "pull"), "placed")
-    work.drop("buckets", "crowded", "classes")
+    weight = work.write(rows_in.groupBy("cls").agg(F.sum("crowd").alias("pull")), "pull")
+    pool = work.write(rows_in.join(weight, "cls").select("bucket", "cls", "n_shingles", "pull", F.col("cls").alias("component"), F.lit(None).cast("long").alias("led")), "pool_0")
+
+    wanted = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).join(small_side(weight.select(F.col("cls").alias("id"))), "id", "left_semi")
+    sets = full_sets(wanted, "id", "text", size, bands, rows)
+    if repeats:
+        sets = sets.join(usable.select("id", "set_a", "set_b"), ["id", "set_a", "set_b"], "left_semi").dropDuplicates(["id"])
+    sets = work.write(sets, "sets")
+    work.drop("buckets", "crowded", "classes", "pull")
 
-    by_pull = F.struct(-F.col("pull"), F.col("cls"))
-    tested: DataFrame | None = None
     links: DataFrame | None = None
     labels: DataFrame | None = None
-    pool = placed  # each bucket's members that have not been its centre yet, with their component
+
+    def joined(found: DataFrame, name: str) -> bool:
+        nonlocal links, labels
+        if found.isEmpty():
+            return False
+        links = found if links is None else links.unionByName(found)
+        labels = components(work, links, name)
+        return True
+
     turn = 0
     while True:
-        if turn == 0:
-            centres = pool.groupBy("bucket").agg(F.min_by(F.struct("cls", "n_shingles"), by_pull).alias("centre"))
-            stars = lambda centres: pool.join(centres, "bucket").where(F.col("cls") != F.col("centre.cls"))
-        else:
-            # buckets whose members left lie in more than one component: further centres are outside the component with most of them
-            known = pool.select("bucket", "cls", "n_shingles", "pull")
-            known = known.withColumn("component", F.col("cls")) if labels is None else known.join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
-            parts = known.groupBy("bucket", "component").agg(F.count("*").alias("n"))
-            mixed = parts.groupBy("bucket").agg(F.count("*").alias("parts"), F.max_by("component", F.struct("n", "component")).alias("led"), (F.sum("n") - F.max("n")).alias("outside")).where("parts > 1")
-            mixed = work.write(mixed.select("bucket", "led", "outside"), f"mixed_{turn}")
-            if mixed.isEmpty():
-                break
-            left = work.write(known.join(mixed, "bucket"), f"pool_{turn}")
-            work.drop(f"left_{turn - 1}")
-            pool = left
-            outside = pool.where("component <> led")
-            if turn == 1:
-                centres = outside.groupBy("bucket").agg(F.min_by(F.struct("cls", "n_shingles", "component"), by_pull).alias("centre"))
-            else:
-                # about twice as many in each turn, so that all have had theirs after a logarithm of turns
-                chosen = F.pmod(F.xxhash64(F.lit(turn), F.col("cls"), F.col("bucket")), F.col("outside")) < 2 ** (turn - 1)
-                centres = outside.where(chosen).select("bucket", F.struct("cls", "n_shingles", "component").alias("centre"))
-            stars = lambda centres: pool.join(centres, "bucket").where(F.col("component") != F.col("centre.component"))
-        centres = work.write(centres, f"centres_{turn}")
-        near = F.col("n_shingles") * 100 >= F.col("centre.n_shingles") * threshold
-        edges = (
-            stars(centres).where(near & (F.col("centre.n_shingles") * 100 >= F.col("n_shingles") * threshold))
-            .select(F.least("cls", "centre.cls").alias("a"), F.greatest("cls", "centre.cls").alias("b"))
-            .distinct()
-        )
-        if tested is not None:
-            edges = edges.join(tested, ["a", "b"], "left_anti")
-        edges = work.write(edges, f"edges_{turn}")
-        # a centre has met every member of its bucket, now or before: what is left are the pairs of the others
-        pool = work.write(pool.join(centres.select("bucket", F.col("centre.cls").alias("cls")), ["bucket", "cls"], "left_anti"), f"left_{turn}")
-        work.drop(f"centres_{turn}", f"mixed_{turn}", f"pool_{turn}", *(["placed"] if turn == 0 else []))
-        if not edges.isEmpty():
-            nodes = work.write(edges.select(F.col("a").alias("id")).unionByName(edges.select(F.col("b").alias("id"))).distinct(), f"nodes_{turn}")
-            wanted = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).join(small_side(nodes), "id", "left_semi")
-            sets = full_sets(wanted, "id", "text", size)
-            if repeats:
-                sets = sets.join(usable.select("id", "set_a", "set_b"), ["id", "set_a", "set_b"], "left_semi").dropDuplicates(["id"])
-            sets = work.write(sets, f"sets_{turn}")
-            found = work.write(_confirmed(edges, sets, threshold), f"links_{turn}")
-            work.drop(f"sets_{turn}", f"nodes_{turn}")
-            tested = edges if tested is None else tested.unionByName(edges)
-            if not found.isEmpty():
-                links = found if links is None else links.unionByName(found)
-                labels = components(work, links, f"cc_{turn}")
+        # one centre a bucket: the text with the most pull, in later turns the one with the most pull outside the largest component
+        asked = pool if turn == 0 else pool.where(f"outside > {block}")
+        centres = work.write((asked if turn == 0 else asked.where("component <> led")).groupBy("bucket").agg(F.min_by(F.struct("cls", "n_shingles", "component"), F.struct(-F.col("pull"), F.col("cls"))).alias("centre")), f"centres_{turn}")
+        near = (F.col("n_shingles") * 100 >= F.col("centre.n_shingles") * threshold) & (F.col("centre.n_shingles") * 100 >= F.col("n_shingles") * threshold)
+        star = asked.join(centres, "bucket").where((F.col("component") != F.col("centre.component")) & near)
+        edges = work.write(star.select(F.col("cls").alias("a"), F.col("centre.cls").alias("b")).distinct(), f"edges_{turn}")
+        found = work.write(_confirmed(edges, sets, threshold), f"links_{turn}")
+        joined(found, f"cc_{turn}")
+        # a centre has met every member of its bucket outside its component: what is left are the pairs of the others
+        met = centres.select("bucket", F.col("centre.cls").alias("cls"))
+        left = pool.select("bucket", "cls", "n_shingles", "pull").join(met, ["bucket", "cls"], "left_anti")
+        left = left.withColumn("component", F.col("cls")) if labels is None else left.join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
+        left = work.write(left, f"left_{turn}")
+        counts = left.groupBy("bucket", "component").agg(F.count("*").alias("n"))
+        mixed = counts.groupBy("bucket").agg(F.count("*").alias("parts"), F.max_by("component", F.struct("n", "component")).alias("led"), F.max("n").alias("led_n"), (F.sum("n") - F.max("n")).alias("outside")).where("parts > 1").drop("parts")
+        pool = work.write(left.join(work.write(mixed, f"mixed_{turn}"), "bucket"), f"pool_{turn + 1}")
+        work.drop(f"centres_{turn}", f"left_{turn}", f"mixed_{turn}", f"pool_{turn}")
+        pays = found.count() * PAYS >= edges.count()
         turn += 1
-    work.drop(f"mixed_{turn}", f"left_{turn - 1}")
+        if not pays or pool.where(f"outside > {block}").isEmpty():
+            break
+    if not pool.isEmpty():
+        joined(work.write(_finish(work, pool, sets, threshold, block), "links_blocks"), "cc_blocks")
+    work.drop("sets", "groups", f"pool_{turn}")
     linked = member.select("id", "cls") if labels is None else member.join(labels.withColumnRenamed("node", "cls"), "cls", "left").select("id", F.coalesce("component", "cls").alias("cls"))
     return sig.select("id", "n_shingles").join(linked.where("id <> cls"), "id", "left").select(
         F.col("id").alias(id_col), "n_shingles",

@@ -1,6 +1,7 @@
 """Operators whose results are exact: against libraries and plain code."""
 
 import hashlib
+import random
 import re
 import zlib
 from collections import Counter
@@ -189,6 +190,43 @@ def test_links_of_a_bucket_led_by_other_texts(spark):
     assert {r.doc_id: r.component_id for r in neardup.near_duplicates(df, bands=1, rows=1).collect()} == expected
 
 
+@pytest.mark.parametrize("block", [1024, 16])
+def test_links_inside_a_template_family(spark, block):
+    """All texts share one template at just under the threshold, and 30 pairs of them reach it: whatever the blocks, each pair is found."""
+    rnd = random.Random(5)
+    template = [f"t{k}" for k in range(104)]
+    own = lambda i, n: [f"{i}o{k}" for k in range(n)]
+    texts = [" ".join(template + own(i, 18)) for i in range(150)]
+    for i in range(150, 180):
+        texts += [" ".join(template + own(i, 18)), " ".join(template + own(i, 4) + own(-i, 14))]
+    rnd.shuffle(texts)
+    expected = plain_components(plain_sets(enumerate(texts)))
+    assert len(set(expected.values())) == len(texts) - 30
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in neardup.near_duplicates(df, block=block).collect()} == expected
+
+
+def test_counts_by_products_are_those_of_sets():
+    rnd = np.random.default_rng(8)
+    sets = [np.unique(rnd.integers(0, 90, rnd.integers(1, 60))).astype(np.uint64) for _ in range(40)]
+    shared = neardup.shared_counts(sets, cells=200)
+    component = np.arange(40)
+    component[:5] = 0
+    pairs = {(i, j) for i, j in combinations(range(40), 2) if 100 * len(np.intersect1d(sets[i], sets[j])) >= 40 * len(np.union1d(sets[i], sets[j]))}
+    assert all(shared[i, j] == len(np.intersect1d(sets[i], sets[j])) for i, j in combinations(range(40), 2))
+    found = neardup.linked_pairs(sets, component, 40)
+
+    def parts(pairs):
+        label = component.copy()
+        for _ in range(40):
+            for i, j in pairs:
+                label[[i, j]] = min(label[i], label[j])
+            label = np.array([label[component == c].min() for c in component])
+        return label.tolist()
+
+    assert set(found) <= pairs and len(found) < 40 and parts(found) == parts(pairs)
+
+
 def test_signature_estimates_similarity():
     rnd = np.random.default_rng(3)
     probes = neardup.probe_order(255)
