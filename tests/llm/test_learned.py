@@ -29,8 +29,8 @@ def test_search_equals_scoring_everything():
         terms = sorted(set(index.lookup(words).tolist()) - {-1})
         score = Counter()
         for t in terms:
-            for block in index.postings[t].values():
-                for item, value in block:
+            for block in range(index.n_blocks):
+                for item, value in zip(*index.postings(t, block), strict=True):
                     score[item] += value
         expected = {i for i, s in score.items() if s >= 1 - 1e-9}
         found = {i for block in range(index.n_blocks) for i, _ in index.wand(terms, block)}
@@ -68,6 +68,67 @@ def test_leaks_of_long_items(spark):
     assert got == {i: [i // 3] for i in range(len(texts))} | {-1: [], -2: []}
 
 
+def plain_leaks(texts, items):
+    """Every passage of every text against every item: BM25 in dictionaries, then the shares of question and answer."""
+    split = lambda t: re.findall(r"[a-z0-9]+", t.lower())
+    words = {i: split(t) for i, t in items}
+    df = Counter(w for ws in words.values() for w in set(ws))
+    mean = sum(map(len, words.values())) / len(words)
+    idf = {w: math.log1p((len(words) - c + 0.5) / (c + 0.5)) for w, c in df.items()}
+    weight = {i: {w: idf[w] * k * 2.2 / (k + 1.2 * (0.25 + 0.75 * len(ws) / mean)) for w, k in Counter(ws).items()} for i, ws in words.items()}
+    found = {}
+    for row, text in texts:
+        ws = split(text)
+        for i, item in words.items():
+            size = decontam.passage_of(len(item))
+            cut = round(len(item) * 0.7) or 1
+            gram = max(1, min(3, cut, len(item) - cut if len(item) > cut else 3))
+            grams = [tuple(item[k : k + gram]) for k in range(len(item) - gram + 1)]
+            at = max(1, cut - gram + 1)
+            question, answer = set(grams[:at]), set(grams[at:] or grams)
+            starts = list(range(0, max(1, len(ws) - size + 1), size // 2))
+            if starts[-1] + size < len(ws):
+                starts.append(len(ws) - size)
+            for start in starts:
+                score = sum(weight[i].get(w, 0) for w in set(ws[start : start + size])) / (0.5 * sum(weight[i].values()))
+                near = ws[max(0, start - size) : start + 2 * size]
+                there = {tuple(near[k : k + gram]) for k in range(len(near) - gram + 1)}
+                if score >= 1 - 1e-9 and min(len(question & there) / len(question), len(answer & there) / len(answer)) >= 0.6:
+                    found[row, i] = max(score, found.get((row, i), 0))
+    return found
+
+
+def test_leaks_are_those_of_brute_force(spark):
+    """Items of 3 to 2,000 words, whole, cut and disturbed, against plain code; however the index is split, the result is one."""
+    rnd = random.Random(12)
+    vocabulary = ["".join(rnd.choice("abcdefgh") for _ in range(4)) for _ in range(900)]
+    word = lambda: vocabulary[min(int(rnd.expovariate(0.006)), 899)]
+    items = [(i, " ".join(word() for _ in range(n))) for i, n in enumerate([3, 5, 8, 12, 20, 40, 63, 64, 65, 90, 130, 140, 200, 256, 400, 700, 2000] * 2)]
+    texts = []
+    for i, item in items:
+        for part in (1.0, 0.8, 0.55, 0.3):
+            ws = item.split()
+            start = rnd.randrange(max(1, len(ws) - int(part * len(ws)) + 1))
+            ws = ws[start : start + max(1, int(part * len(ws)))]
+            ws = [word() if rnd.random() < 0.1 * (i % 2) else w for w in ws]
+            texts.append(" ".join([*(word() for _ in range(rnd.randrange(300))), *ws, *(word() for _ in range(rnd.randrange(300)))]))
+    texts = list(enumerate(texts))
+    expected = plain_leaks(texts, items)
+    assert {i for _, i in expected} >= set(range(0, len(items), 2))  # those copied without a change
+    docs, bench = spark.createDataFrame(texts, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    for sizes in ({}, {"index_bytes": 9_000, "pass_bytes": 18_000}):
+        got = decontam.find_leaks(docs, bench, **sizes).collect()
+        assert {(r.doc_id, i) for r in got for i in r.item_ids} == set(expected)
+        assert all(math.isclose(r.best_score, max(v for (d, _), v in expected.items() if d == r.doc_id)) for r in got if r.leaked)
+
+
+def test_leaks_of_items_named_by_strings(spark, odd):
+    bench = spark.createDataFrame([("b", "one two three four five six seven"), ("a", "one two three four five six seven"), (None, "one")], "item_id string, text string")
+    clash = odd.withColumns({"leaked": F.lit(9), "item_ids": F.lit("x"), "best_score": F.lit(None).cast("string")})
+    got = {(r.doc_id, r.leaked, tuple(r.item_ids)) for r in decontam.find_leaks(clash, bench).collect()}
+    assert (4, True, ("a", "b")) in got and (0, False, ()) in got
+
+
 def test_folding():
     assert toxicity.fold("ІDIОТ 1d10t $tup1d ｉｄｉｏｔ id​iot") == "idiot idiot stupid idiot idiot"
     assert toxicity.fold("stupid$$$ x!") == "stupid$$$ x!"
