@@ -7,21 +7,7 @@ from collections.abc import Iterator
 from pyspark.sql import SparkSession
 from pyspark.sql.functions import udtf
 
-from .sentences import ABBREVIATIONS, CHUNK, DOTTED, OVERLAP, fold_chunks
-
-
-def split_sentences(text: str | None) -> list[str]:
-    """The sentences that the native expression finds, for one text in Python."""
-    import re
-
-    stop, border = "\u0002", "\u0001"
-    text = text or ""
-    for d in DOTTED:
-        text = re.sub(rf"(?i)({d[0]})\.({d[2]})\.", rf"\1{stop}\2{stop}", text)
-    text = re.sub(rf"(?i)(^|[^\w])({'|'.join(ABBREVIATIONS)})\.", rf"\1\2{stop}", text)
-    text = re.sub(r"[ \t\r\f]*\n[ \t\r\n\f]*", border, text)
-    text = re.sub(r"([.!?]+[\"')\]]*)[ \t\r\f]+([A-ZÀ-ÖØ-Þ0-9\"'(\[])", rf"\1{border}\2", text)
-    return [s for part in text.replace(stop, ".").split(border) if (s := part.strip())]
+from .sentences import CHUNK, OVERLAP, fold_chunks, split_sentences
 
 
 class ChunkText:

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
+import re
+from functools import lru_cache, reduce
+
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -9,6 +13,8 @@ from pyspark.sql.types import StringType
 
 #: Blanks in the sense of Unicode, spelled out so that every regex engine agrees.
 WS = r"[\t\n\x{000B}\f\r\x{001C}-\x{001F} \x{0085}\x{00A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+#: The same characters as one string, for native trims.
+BLANK_CHARS = "".join(map(chr, [*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 #: Characters replaced one by one, and those dropped.
 REPLACED = {"’": "'", "‘": "'", "“": '"', "”": '"', "–": "-", "—": "-", " ": " "}
 DROPPED = ("​", "‎", "‏", "﻿")
@@ -57,7 +63,7 @@ def collapse_blanks(c: Column) -> Column:
 
 def strip(c: Column) -> Column:
     """Blanks of Unicode taken off both ends."""
-    return F.regexp_replace(c, f"^{WS}+|{WS}+$", "")
+    return F.btrim(c, F.lit(BLANK_CHARS))
 
 
 def normalize(c: Column, entities: bool = True) -> Column:
@@ -94,8 +100,58 @@ def is_retracted(title: Column, abstract: Column) -> Column:
 
 
 def contains_any(c: Column, phrases: tuple[str, ...]) -> Column:
-    """Whether the text holds one of the phrases."""
-    return F.exists(F.array(*map(F.lit, phrases)), lambda p: F.contains(c, p))
+    """Whether the text holds one of the phrases: one test after the other, in generated code."""
+    return reduce(lambda a, b: a | b, [F.contains(c, F.lit(p)) for p in phrases])
+
+
+@lru_cache(maxsize=1)
+def _plain_rules() -> dict:
+    """What the functions on one Python text need: the same tables and patterns as the expressions."""
+    import regex
+
+    letters = bytes(b for b in range(128) if not chr(b).isalpha())
+    kept = bytes(b for b in range(128) if not (chr(b).isdigit() or "a" <= chr(b) <= "z" or chr(b) in BLANK_CHARS))
+    return {
+        "table": str.maketrans(REPLACED | dict.fromkeys(DROPPED)), "blanks": re.compile(r"[ \t]+"), "lines": re.compile(r"\n{3,}"), "not_letters": letters, "not_kept": kept, "retraction": regex.compile(RETRACTION),
+        "letters": regex.compile(r"[^\p{L}]+"), "latin": re.compile("[^\u0000-\u024f]+"), "dropped": re.compile(f"[^a-z0-9{re.escape(BLANK_CHARS)}]+"),
+    }
+
+
+def normalize_text(text: str | None, entities: bool = True) -> str:
+    """`normalize` for one text in Python."""
+    import html
+    import unicodedata
+
+    rules, text = _plain_rules(), text or ""
+    if entities and "&" in text:
+        text = html.unescape(text)
+    if not text.isascii():
+        text = (unicodedata.normalize("NFC", text) if entities else text).translate(rules["table"])
+    if "  " in text or "\t" in text:
+        text = rules["blanks"].sub(" ", text)
+    return (rules["lines"].sub("\n\n", text) if "\n\n\n" in text else text).strip(BLANK_CHARS)
+
+
+def is_english_text(text: str) -> bool:
+    """`is_english` for one text in Python."""
+    rules = _plain_rules()
+    if text.isascii():
+        return len(text.encode().translate(None, rules["not_letters"])) >= 20
+    letters = rules["letters"].sub("", text)
+    return len(letters) >= 20 and len(rules["latin"].sub("", letters)) / len(letters) > 0.85
+
+
+def is_retracted_text(title: str, abstract: str) -> bool:
+    """`is_retracted` for one record in Python."""
+    low = f"{title} {abstract}".lower()
+    return ("retract" in low or "withdraw" in low) and _plain_rules()["retraction"].search(low) is not None
+
+
+def fingerprint_text(text: str) -> str:
+    """`fingerprint` for one text in Python."""
+    rules, low = _plain_rules(), text.lower()
+    bare = low.encode().translate(None, rules["not_kept"]).decode() if low.isascii() else rules["dropped"].sub("", low)
+    return hashlib.sha256(" ".join(bare.split()).encode()).hexdigest()[:16]
 
 
 def is_low_quality(c: Column) -> Column:

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions import text as T
+from ..runtime import Workspace, ship_package, small_side
 
 MIN_TITLE, MIN_ABSTRACT, MAX_ABSTRACT, MIN_NOTE, MIN_NOTE_USED = 10, 200, 15_000, 50, 100
 REASONS = ("no_title", "short_abstract", "too_long", "retracted", "non_english", "duplicate")
@@ -43,19 +46,48 @@ def drop_reason(title: Column, abstract: Column) -> Column:
     )
 
 
+def _reason_of(title: str, abstract: str) -> str | None:
+    """`drop_reason` for one normalised record in Python."""
+    if len(title) < MIN_TITLE:
+        return "no_title"
+    if len(abstract) < MIN_ABSTRACT:
+        return "short_abstract"
+    if len(abstract) > MAX_ABSTRACT:
+        return "too_long"
+    if T.is_retracted_text(title, abstract):
+        return "retracted"
+    return None if T.is_english_text(abstract) else "non_english"
+
+
+def normalised(df: DataFrame, title: str, abstract: str, category: str | None, index: str, entities: bool = True) -> DataFrame:
+    """(idx, title, abstract, cancer_type, reason, fp): each record normalised once, with the rule it fails or the fingerprint of its abstract. One pass, on Arrow batches."""
+    ship_package(df.sparkSession)
+    texts = df.select(F.col(index).alias("idx"), F.col(title).alias("title"), F.col(abstract).alias("abstract"), (T.category(F.col(category)) if category else F.lit("unknown")).alias("cancer_type"))
+    schema = StructType([*texts.schema.fields, StructField("reason", StringType()), StructField("fp", StringType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            titles, abstracts = ([T.normalize_text(t, entities) for t in batch.column(k).to_pylist()] for k in (1, 2))
+            reasons = list(map(_reason_of, titles, abstracts))
+            prints = [T.fingerprint_text(a) if r is None else None for a, r in zip(abstracts, reasons, strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(x, pa.string()) for x in (titles, abstracts)), batch.column(3), *(pa.array(x, pa.string()) for x in (reasons, prints))], names=schema.names)
+
+    return texts.mapInArrow(run, schema)
+
+
 def annotate(df: DataFrame, title: str = "title", abstract: str = "abstract", category: str | None = "category", index: str = "idx", entities: bool = True) -> DataFrame:
     """(idx, title, abstract, cancer_type, drop_reason): normalised records with the reason why each goes, null for those that stay.
 
-    Of records with one fingerprint that pass all rules, the one with the smallest `index` (unique) stays.
+    Of records with one fingerprint that pass all rules, the one with the smallest `index` (unique) stays. The normalised records are written once; of them only fingerprints are shuffled, and the
+    indexes of later copies come back by a broadcast if they are few, so no text is shuffled.
     """
-    texts = df.select(
-        F.col(index).alias("idx"), T.normalize(F.col(title), entities).alias("title"), T.normalize(F.col(abstract), entities).alias("abstract"),
-        (T.category(F.col(category)) if category else F.lit("unknown")).alias("cancer_type"),
-    )
-    ruled = texts.withColumn("drop_reason", drop_reason(F.col("title"), F.col("abstract")))
-    passed = ruled.where("drop_reason IS NULL").select("idx", T.fingerprint(F.col("abstract")).alias("fp"))
-    firsts = passed.groupBy("fp").agg(F.min("idx").alias("idx")).select("idx", F.lit(True).alias("__first"))
-    return ruled.join(firsts, "idx", "left").select("idx", "title", "abstract", "cancer_type", F.when(F.col("drop_reason").isNull() & F.col("__first").isNull(), "duplicate").otherwise(F.col("drop_reason")).alias("drop_reason"))
+    work = Workspace(df.sparkSession)
+    ruled = work.write(normalised(df, title, abstract, category, index, entities), "normalised")
+    passed = ruled.where("reason IS NULL").select("idx", "fp")
+    firsts = work.write(passed.groupBy("fp").agg(F.min("idx").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n"), "firsts")  # a fingerprint with a third of all rows is one row here
+    later = work.write(passed.join(small_side(firsts), "fp").where("idx > first").select("idx", F.lit(True).alias("__later")), "later")
+    joined = ruled.join(small_side(later), "idx", "left")
+    return joined.select("idx", "title", "abstract", "cancer_type", F.when(F.col("__later"), "duplicate").otherwise(F.col("reason")).alias("drop_reason"))
 
 
 def clean_records(annotated: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..functions.text import seeded_hash
+from .ranking import BUCKET_ROWS, hash_digits, numbered
 
 TURN = "struct<`from`:string,value:string,train:boolean>"
 CONVERSATION = f"array<{TURN}>"
@@ -102,11 +103,24 @@ def messages_error(messages: Column) -> Column:
     )
 
 
-def batches(df: DataFrame, group: list[str], seed: str | int, keys: list[str], size: int = TURNS) -> DataFrame:
-    """df plus batch and slot: rows of a group (a chunk's or a patient's questions) in random order, `size` to a batch."""
-    order = Window.partitionBy(*group).orderBy(seeded_hash(seed, *[F.col(k) for k in keys]), *keys)
-    place = F.row_number().over(order) - 1
-    return df.withColumns({"batch": F.floor(place / size).cast("int"), "slot": (place % size).cast("int")})
+def batches(df: DataFrame, group: list[str], seed: str | int, keys: list[str], size: int = TURNS, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    """df plus batch and slot: rows of a group (a chunk's or a patient's questions) in random order, `size` to a batch.
+
+    Groups of more than `bucket_rows` rows are rare (they are counted first) and are numbered by buckets of their hash; for all others a window over the group does.
+    """
+    large = df.groupBy(*group).count().where(F.col("count") > bucket_rows)
+    most = large.agg(F.max("count")).first()[0]
+    if most is None:
+        order = Window.partitionBy(*group).orderBy(seeded_hash(seed, *[F.col(k) for k in keys]), *keys)
+        place = F.row_number().over(order) - 1
+        return df.withColumns({"batch": F.floor(place / size).cast("int"), "slot": (place % size).cast("int")})
+    hashed = df.withColumn("__h", seeded_hash(seed, *[F.col(k) for k in keys]))
+    marked = hashed.join(F.broadcast(large.select(*group, F.lit(True).alias("__large"))), [hashed[c].eqNullSafe(large[c]) for c in group], "left")  # one row at most in `bucket_rows`
+    marked = marked.select(*[hashed[c] for c in hashed.columns], "__large")
+    bucket = F.when(F.col("__large"), F.conv(F.substring("__h", 1, hash_digits(most, bucket_rows)), 16, 10).cast("long")).otherwise(F.lit(0))
+    place = F.col("__place") - 1
+    ranked = numbered(marked, group, bucket, [F.col("__h"), *[F.col(k) for k in keys]], "__place")
+    return ranked.withColumns({"batch": F.floor(place / size).cast("int"), "slot": (place % size).cast("int")}).drop("__h", "__large", "__place")
 
 
 def assemble(df: DataFrame, group: list[str], seed: str | int, keys: list[str], question: str = "question", answer: str = "answer", kind: str = "cancer_type", data_type: str = "qa", size: int = TURNS) -> DataFrame:

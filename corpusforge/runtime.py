@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import io
 import os
 import tempfile
@@ -14,6 +16,7 @@ from pyspark.sql import functions as F
 
 _PACKAGE = Path(__file__).resolve().parent
 _SHIPPED: set[str] = set()
+_MADE: set[str] = set()
 
 
 def local_session(cores: int | str = 8, shuffle_partitions: int = 8, app: str = "corpusforge", **conf: str) -> SparkSession:
@@ -37,10 +40,11 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, app: str =
 def ship_package(spark: SparkSession) -> None:
     """Make this package importable in the Python workers of every executor, once for each application.
 
-    Arrow batches are held to a few hundred rows so that a worker's memory follows the size of a batch of texts, not 10,000 of them.
+    Arrow batches are held to a few hundred rows, unless the session says how many, so that a worker's memory follows the size of a batch of texts, not 10,000 of them.
     """
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "512")
     sc = spark.sparkContext
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) == 10_000:  # Spark's own default: the user has said nothing
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "512")
     if sc.applicationId in _SHIPPED:
         return
     buffer = io.BytesIO()
@@ -54,12 +58,34 @@ def ship_package(spark: SparkSession) -> None:
     _SHIPPED.add(sc.applicationId)
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share: spark.checkpoint.dir, or one of our own where it is unset (tests)."""
+def application_dir(spark: SparkSession) -> str:
+    """This application's part of the folder that the driver and all executors share: spark.checkpoint.dir, or one of our own where it is unset and the master is local (tests)."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if root is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         root = "file://" + os.path.join(tempfile.gettempdir(), "corpusforge-work")
-    return f"{root.rstrip('/')}/corpusforge/{uuid.uuid4().hex}"
+    return f"{root.rstrip('/')}/corpusforge/{spark.sparkContext.applicationId}"
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """A new folder in the application's part; what is left there goes when the driver ends (`clean_up`)."""
+    top = application_dir(spark)
+    if top not in _MADE:
+        _MADE.add(top)
+        atexit.register(_clean_up_at_exit, spark, top)
+    return f"{top}/{uuid.uuid4().hex}"
+
+
+def clean_up(spark: SparkSession) -> None:
+    """Remove all work tables of this application. DataFrames returned by the operators may still read them: call it once their results are written."""
+    drop_dir(spark, application_dir(spark))
+
+
+def _clean_up_at_exit(spark: SparkSession, top: str) -> None:
+    if spark.sparkContext._jsc is not None and spark.sparkContext._gateway is not None:  # else the session was stopped before
+        with contextlib.suppress(Exception):  # the JVM may be gone: nothing is lost but space
+            drop_dir(spark, top)
 
 
 def drop_dir(spark: SparkSession, path: str) -> None:

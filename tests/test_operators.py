@@ -60,7 +60,7 @@ def test_sample_sizes(spark):
 
 def test_ranks(spark):
     df = spark.range(0, 3000, 7, 5)
-    assert [r[0] for r in position_rank(df, [], "id", width=100).orderBy("id").select("rank").collect()] == list(range(1, 430))
+    assert [r[0] for r in position_rank(df, [], "id", bucket_rows=50).orderBy("id").select("rank").collect()] == list(range(1, 430))
     assert sorted(r[0] for r in hash_rank(df, [], 5, ["id"]).select("rank").collect()) == list(range(1, 430))
     dup = spark.createDataFrame([(1, "x"), (2, "x"), (3, None), (4, None)], "id long, k string")
     assert sorted(r.id for r in first_per_key(dup, F.col("k"), "id").collect()) == [1, 3]
