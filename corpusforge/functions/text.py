@@ -221,8 +221,10 @@ def parse_verdict(c: Column) -> Column:
     return out
 
 
-def display_name(c: Column) -> Column:
-    return F.initcap(F.replace(F.regexp_replace(_text(c), "pubmed_", ""), F.lit("_"), F.lit(" ")))
+def display_name(c: Column, prefix: str = "") -> Column:
+    """A type's name for readers: without the prefix, underscores as blanks, in title case."""
+    bare = F.replace(_text(c), F.lit(prefix), F.lit("")) if prefix else _text(c)
+    return F.initcap(F.replace(bare, F.lit("_"), F.lit(" ")))
 
 
 def approximate_tokens(c: Column) -> Column:

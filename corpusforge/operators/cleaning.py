@@ -14,6 +14,8 @@ from ..runtime import Workspace, ship_package, small_side
 
 MIN_TITLE, MIN_ABSTRACT, MAX_ABSTRACT, MIN_NOTE, MIN_NOTE_USED = 10, 200, 15_000, 50, 100
 REASONS = ("no_title", "short_abstract", "too_long", "retracted", "non_english", "duplicate")
+#: What ids and report keys start with, unless the caller names something else.
+RECORD_PREFIX, CASE_PREFIX, RECORD_REPORT, CASE_REPORT = "record", "case", "records", "cases"
 CATEGORY_NAMES = ("label", "cancer", "type", "category")
 
 
@@ -90,12 +92,12 @@ def annotate(df: DataFrame, title: str = "title", abstract: str = "abstract", ca
     return joined.select("idx", "title", "abstract", "cancer_type", F.when(F.col("__later"), "duplicate").otherwise(F.col("reason")).alias("drop_reason"))
 
 
-def clean_records(annotated: DataFrame) -> DataFrame:
-    """The clean records of annotated ones."""
+def clean_records(annotated: DataFrame, prefix: str = RECORD_PREFIX) -> DataFrame:
+    """The clean records of annotated ones; ids are the prefix, the type and the index."""
     passage = F.concat("title", F.lit("\n\n"), "abstract")
     kept = annotated.where("drop_reason IS NULL").withColumn("passage", passage)
     return kept.select(
-        F.format_string("pubmed_%s_%d", "cancer_type", "idx").alias("id"), "title", "abstract", "passage", "cancer_type",
+        F.format_string(f"{prefix}_%s_%d", "cancer_type", "idx").alias("id"), "title", "abstract", "passage", "cancer_type",
         F.length("passage").alias("char_count"), T.word_count(F.col("passage")).alias("word_count"),
     )
 
@@ -115,8 +117,8 @@ def type_report(annotated: DataFrame) -> DataFrame:
     )
 
 
-def cleaning_report(annotated: DataFrame, cases: DataFrame | None = None) -> DataFrame:
-    """One row with the JSON report of a run."""
+def cleaning_report(annotated: DataFrame, cases: DataFrame | None = None, key: str = RECORD_REPORT, cases_key: str = CASE_REPORT) -> DataFrame:
+    """One row with the JSON report of a run, its parts under `key` and `cases_key`."""
     as_map = lambda df, k, v: df.agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct(k, v)))).alias("m"))  # noqa: E731  one entry for each type or reason
     types = annotated.groupBy("cancer_type").agg(F.count("*").alias("raw"), F.count_if(F.col("drop_reason").isNull()).alias("clean"))
     raw = as_map(types, "cancer_type", "raw").select(F.col("m").alias("per_type_raw"))
@@ -124,16 +126,16 @@ def cleaning_report(annotated: DataFrame, cases: DataFrame | None = None) -> Dat
     dropped = as_map(annotated.where("drop_reason IS NOT NULL").groupBy("drop_reason").agg(F.count("*").alias("n")), "drop_reason", "n").select(F.col("m").alias("dropped"))
     totals = annotated.agg(F.count("*").alias("total_raw"), F.count_if(F.col("drop_reason") == "duplicate").alias("dedup_removed"), F.count_if(F.col("drop_reason").isNull()).alias("total_clean"))
     one = raw.join(clean).join(dropped).join(totals)  # one row each
-    report = F.struct("total_raw", "per_type_raw", "per_type_clean", "dropped", "dedup_removed", "total_clean").alias("pubmed")
+    report = F.struct("total_raw", "per_type_raw", "per_type_clean", "dropped", "dedup_removed", "total_clean").alias(key)
     if cases is None:
         return one.select(F.to_json(F.struct(report)).alias("report"))
-    subsets = as_map(cases.groupBy("subset").agg(F.count("*").alias("n")), "subset", "n").select(F.col("m").alias("cancerguide"))
-    return one.join(subsets).select(F.to_json(F.struct(report, "cancerguide")).alias("report"))
+    subsets = as_map(cases.groupBy("subset").agg(F.count("*").alias("n")), "subset", "n").select(F.col("m").alias(cases_key))
+    return one.join(subsets).select(F.to_json(F.struct(report, cases_key)).alias("report"))
 
 
-def clean_cases(df: DataFrame, subset: str, note: str = "patient_note", label: str = "label", patient: str | None = None, index: str = "idx") -> DataFrame:
+def clean_cases(df: DataFrame, subset: str, note: str = "patient_note", label: str = "label", patient: str | None = None, index: str = "idx", prefix: str = CASE_PREFIX) -> DataFrame:
     """Patient cases with a note of MIN_NOTE characters or more."""
     text = T.normalize(F.col(note))
-    own = F.format_string(f"cancerguide_{subset}_%d", index)
+    own = F.format_string(f"{prefix}_{subset}_%d", index)
     rows = df.select((F.coalesce(F.col(patient).cast("string"), own) if patient else own).alias("id"), text.alias("patient_note"), T.normalize(F.col(label)).alias("treatment_recommendation"), F.lit(subset).alias("subset"))
     return rows.withColumn("char_count", F.length("patient_note")).where(F.col("char_count") >= MIN_NOTE)

@@ -73,6 +73,12 @@ def coalesce_messages(messages: Column, conversations: Column) -> Column:
     return F.coalesce(messages, to_messages(conversations))
 
 
+def with_defaults(df: DataFrame, **values: str) -> DataFrame:
+    """df with missing data types and types named: data_type 'qa', cancer_type 'unknown', and what else is given."""
+    wanted = {"data_type": "qa", "cancer_type": "unknown"} | values
+    return df.select("*", *[F.lit(None).cast("string").alias(c) for c in wanted if c not in df.columns]).fillna(wanted)
+
+
 def format_error(conv: Column) -> Column:
     """The first break of system, human, gpt, human, gpt, ...; null if there is none."""
     expected = lambda i: F.when(i == 0, "system").when(i % 2 == 1, "human").otherwise("gpt")

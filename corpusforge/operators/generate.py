@@ -33,13 +33,13 @@ class Settings:
 #: The phases and their published settings.
 PHASES = {
     "questions": Settings("lite", 0.8, 1024, True), "answer": Settings("main", 0.4, 4096), "judge": Settings("lite", 0.1, 2048), "beyond_questions": Settings("lite", 0.8, 1024, True), "beyond_answer": Settings("main", 0.5, 4096),
-    "flawed": Settings("lite", 0.8, 4096), "correction": Settings("main", 0.4, 4096), "treatment": Settings("main", 0.4, 4096), "strict_answer": Settings("main", 0.2, 4096), "hallucinated": Settings("lite", 0.9, 4096), "vision": Settings("vision", 0.2, 1024),
+    "flawed": Settings("lite", 0.8, 4096), "correction": Settings("main", 0.4, 4096), "treatment": Settings("main", 0.4, 4096), "strict_answer": Settings("main", 0.2, 4096), "hallucinated": Settings("lite", 0.9, 4096), "beyond_chosen": Settings("main", 0.2, 4096), "vision": Settings("vision", 0.2, 1024),
 }
 
 
 class Generator(Protocol):
-    def generate(self, prompts: list[str], settings: Settings) -> list[tuple[str | None, str | None, str]]:
-        """(text, reasoning, status) for each prompt; status is ok, error or timeout."""
+    def generate(self, prompts: list[str], settings: Settings, systems: list[str | None] | None = None) -> list[tuple[str | None, str | None, str]]:
+        """(text, reasoning, status) for each prompt and, if there are any, its system message; status is ok, error or timeout."""
 
 
 @dataclass
@@ -53,12 +53,12 @@ class HttpGenerator:
     retries: int = 3
     timeout: float = 180.0
 
-    def _call(self, prompt: str, settings: Settings) -> tuple[str | None, str | None, str]:
+    def _call(self, prompt: str, settings: Settings, system: str | None = None) -> tuple[str | None, str | None, str]:
         import time
         import urllib.error
         import urllib.request
 
-        body = {"model": self.models.get(settings.model, settings.model), "messages": [{"role": "user", "content": prompt}], "temperature": settings.temperature, "max_tokens": settings.max_tokens}
+        body = {"model": self.models.get(settings.model, settings.model), "messages": [*([{"role": "system", "content": system}] if system else []), {"role": "user", "content": prompt}], "temperature": settings.temperature, "max_tokens": settings.max_tokens}
         if settings.json_mode:
             body["response_format"] = {"type": "json_object"}
         headers = {"Content-Type": "application/json"} | ({"Authorization": f"Bearer {self.key}"} if self.key else {})
@@ -77,25 +77,26 @@ class HttpGenerator:
                 time.sleep(min(8.0, 0.5 * 2**attempt))
         return None, None, status
 
-    def generate(self, prompts: list[str], settings: Settings) -> list[tuple[str | None, str | None, str]]:
+    def generate(self, prompts: list[str], settings: Settings, systems: list[str | None] | None = None) -> list[tuple[str | None, str | None, str]]:
         from concurrent.futures import ThreadPoolExecutor
 
         with ThreadPoolExecutor(self.concurrency) as pool:
-            return list(pool.map(lambda p: self._call(p, settings), prompts))
+            return list(pool.map(lambda p, s: self._call(p, settings, s), prompts, systems or [None] * len(prompts)))
 
 
-def call(df: DataFrame, prompt: Column, generator: Generator, phase: str, name: str = "reply") -> DataFrame:
+def call(df: DataFrame, prompt: Column, generator: Generator, phase: str, name: str = "reply", system: Column | None = None) -> DataFrame:
     """df plus `name` (reasoning and content as one text, null after a failure) and `name`_status."""
     ship_package(df.sparkSession)
     settings = PHASES[phase]
-    asked = df.withColumn("__prompt", prompt)
+    asked = df.withColumns({"__prompt": prompt, "__system": system if system is not None else F.lit(None).cast("string")})
     schema = StructType([*df.schema.fields, StructField("__content", StringType()), StructField("__reasoning", StringType()), StructField(f"{name}_status", StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 64):
                 rows = batch.slice(at, 64)
-                replies = generator.generate(rows.column("__prompt").to_pylist(), settings)
+                prompts, systems = (rows.column(c).to_pylist() for c in ("__prompt", "__system"))
+                replies = generator.generate(prompts, settings, systems) if any(systems) else generator.generate(prompts, settings)
                 columns = [rows.column(c) for c in schema.names[:-3]] + [pa.array([r[k] for r in replies], pa.string()) for k in range(3)]
                 yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
@@ -127,6 +128,11 @@ def stub_correction(chunk: Column, question: Column, pushback: Column) -> Column
     return T.with_reasoning(F.concat(F.lit("Corrected from the source: "), F.left(T._text(chunk), F.lit(200))), T._text(pushback))
 
 
+def stub_limits(chunk: Column, question: Column) -> Column:
+    """Says that the chunk leaves the question open, and what the chunk starts with."""
+    return T.with_reasoning(F.concat(F.lit("The source does not settle this. It only says: "), F.left(T._text(chunk), F.lit(200))), F.concat(F.lit("Asked: "), T._text(question)))
+
+
 def stub_verdict(answer: Column, chunk: Column) -> Column:
     """Grounded if the answer ends with text of the chunk; extrapolated if it shares its first word; else hallucinated."""
     tail = F.right(T.strip_thinking(answer), F.lit(40))

@@ -6,11 +6,10 @@ import hashlib
 import json
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.io import read_manifest, write_manifest
+from ..sources.io import exists, read_manifest, write_manifest
 from .ranking import position_rank
 
 SHARD = 64
@@ -53,11 +52,7 @@ class ShardCache:
         """compute's rows for all of df: it gets (df's columns, pos, shard) and must keep pos and shard."""
         sharded = shard_ranges(df, position, self.size)
         expected = sharded.groupBy("shard").agg(F.count("*").alias("expected"))
-        todo = sharded
-        try:
-            todo = sharded.join(self._valid(expected), "shard", "left_anti")
-        except AnalysisException:
-            pass  # nothing stored yet
+        todo = sharded.join(self._valid(expected), "shard", "left_anti") if exists(self.spark, f"{self.path}/shards") else sharded
         fresh = compute(todo).withColumn("fingerprint", F.lit(self.config))
         fresh.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("shard").parquet(f"{self.path}/shards")
         done = self._valid(expected).count()

@@ -10,8 +10,8 @@ from .conversations import system_prompt, turn
 from .preference import make_pair
 from .sampling import half
 
-#: The published tool names.
-TOOLS = ("deep_research_pubmed", "clinical_trials_api", "oncology_guidelines_db", "biomed_evidence_search", "medline_lookup", "cancer_drug_registry")
+#: Tools that a caller may replace by others.
+TOOLS = ("deep_search", "trial_registry", "guideline_lookup", "evidence_search", "literature_index", "product_registry")
 TEMPORAL = ("What are the latest updates on this: ", "What is the most recent data since 2025 regarding: ", "According to current guidelines: ")
 FAILURE_SHARE = 0.15
 

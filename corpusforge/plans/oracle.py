@@ -74,7 +74,7 @@ def pick(options, digest: str) -> str:
 
 
 def display(x: str) -> str:
-    words = f"string_split(replace(replace({x}, 'pubmed_', ''), '_', ' '), ' ')"
+    words = f"string_split(replace({x}, '_', ' '), ' ')"
     return f"array_to_string(list_transform({words}, lambda w: upper(substr(w, 1, 1)) || lower(substr(w, 2))), ' ')"
 
 

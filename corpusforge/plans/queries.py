@@ -89,17 +89,12 @@ def clean_report_by_source(spark: SparkSession, sf: str) -> DataFrame:
     return cleaning.type_report(annotated(spark, sf))
 
 
-@query(f"WITH {O.CLEAN} SELECT 'pubmed_' || cancer_type || '_' || idx AS id, title, abstract, title || chr(10) || chr(10) || abstract AS passage, cancer_type, length(title) + length(abstract) + 2 AS char_count, {O.word_count('(title || chr(10) || chr(10) || abstract)')} AS word_count FROM annotated WHERE drop_reason IS NULL")
+@query(f"WITH {O.CLEAN} SELECT 'record_' || cancer_type || '_' || idx AS id, title, abstract, title || chr(10) || chr(10) || abstract AS passage, cancer_type, length(title) + length(abstract) + 2 AS char_count, {O.word_count('(title || chr(10) || chr(10) || abstract)')} AS word_count FROM annotated WHERE drop_reason IS NULL")
 def clean_records(spark: SparkSession, sf: str) -> DataFrame:
     return cleaning.clean_records(annotated(spark, sf))
 
 
-@query()
-def cleaning_report_json(spark: SparkSession, sf: str) -> DataFrame:
-    return cleaning.cleaning_report(annotated(spark, sf))
-
-
-@query(f"SELECT doc_id, 'cancerguide_docs_' || doc_id AS id, length(t) AS char_count FROM (SELECT doc_id, {O.normalize('text')} AS t FROM documents) WHERE length(t) >= 50")
+@query(f"SELECT doc_id, 'case_docs_' || doc_id AS id, length(t) AS char_count FROM (SELECT doc_id, {O.normalize('text')} AS t FROM documents) WHERE length(t) >= 50")
 def clean_cases(spark: SparkSession, sf: str) -> DataFrame:
     docs = load(spark, sf, "documents").select("doc_id", F.col("text").alias("patient_note"), F.lit("").alias("label"))
     return cleaning.clean_cases(docs, "docs", index="doc_id").select(F.regexp_extract("id", r"(\d+)$", 1).cast("long").alias("doc_id"), "id", "char_count")
@@ -177,11 +172,11 @@ def continuation_convs(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(f"""WITH c AS ({O.CHUNKS}), last AS (SELECT substr(chunk, 1, 100) AS k, max_by(chunk, doc_id * 1000000 + ix) AS chunk FROM c GROUP BY 1)
-  SELECT d.doc_id, coalesce(last.chunk, d.k) AS chunk FROM (SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN 'missing' ELSE substr(chunk, 1, 100) END AS k FROM c WHERE ix = 0) d LEFT JOIN last ON d.k = last.k""")
+  SELECT d.doc_id, d.ix, coalesce(last.chunk, d.k) AS chunk FROM (SELECT doc_id, ix, CASE WHEN doc_id % 5 = 0 THEN 'missing' ELSE substr(chunk, 1, 100) END AS k FROM c) d LEFT JOIN last ON d.k = last.k""")
 def chunk_key_lookup_join(spark: SparkSession, sf: str) -> DataFrame:
     chunks = chunk_rows_of(spark, sf).withColumn("pos", F.col("doc_id") * 1_000_000 + F.col("ix"))
-    items = chunks.where("ix = 0").select("doc_id", F.when(F.col("doc_id") % 5 == 0, "missing").otherwise(F.col("chunk_key")).alias("chunk_key"))
-    return preference.lookup_chunks(items, chunks.select("chunk", "pos")).select("doc_id", "chunk")
+    items = chunks.select("doc_id", "ix", F.when(F.col("doc_id") % 5 == 0, "missing").otherwise(F.col("chunk_key")).alias("chunk_key"))
+    return preference.lookup_chunks(items, chunks.select("chunk", "pos")).select("doc_id", "ix", "chunk")
 
 
 # --- samples ------------------------------------------------------------------------------------------------------------
@@ -220,17 +215,17 @@ def head_per_source(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(f"""SELECT doc_id, question FROM (SELECT doc_id, question, row_number() OVER (PARTITION BY doc_id ORDER BY {O.order_hash('patient:direct', 'doc_id', 'question')}, question) AS r
-  FROM documents, (SELECT unnest({O.strings(P.TREATMENT_QUESTIONS)}) AS question) WHERE length(text) BETWEEN 100 AND 2000) WHERE r <= 3""")
+  FROM documents, (SELECT unnest({O.strings(P.TREATMENT_QUESTIONS)}) AS question) WHERE length(text) >= 100) WHERE r <= 3""")
 def k_of_n_choice(spark: SparkSession, sf: str) -> DataFrame:
-    docs = load(spark, sf, "documents").where(F.length("text").between(100, 2000)).select("doc_id")
+    docs = load(spark, sf, "documents").where(F.length("text") >= 100).select("doc_id")
     return P.patient_questions(docs, "doc_id").where("question_type = 'direct'").select("doc_id", "question")
 
 
 @query(f"""SELECT doc_id, replace(template, '{{' || name || '}}', CASE name {' '.join(f"WHEN {O.q(n)} THEN {O.pick(fills, O.order_hash(f'patient:{n}', 'doc_id'))}" for n, (_, fills) in P.WHATIF.items())} END) AS question FROM (
   SELECT doc_id, name, template, row_number() OVER (PARTITION BY doc_id ORDER BY {O.order_hash('patient:whatif', 'doc_id', 'name')}, name) AS r
-  FROM documents, (VALUES {', '.join(f'({O.q(n)}, {O.q(t)})' for n, (t, _) in P.WHATIF.items())}) w(name, template) WHERE length(text) BETWEEN 100 AND 2000) WHERE r <= 2""")
+  FROM documents, (VALUES {', '.join(f'({O.q(n)}, {O.q(t)})' for n, (t, _) in P.WHATIF.items())}) w(name, template) WHERE length(text) >= 100) WHERE r <= 2""")
 def whatif_expand(spark: SparkSession, sf: str) -> DataFrame:
-    docs = load(spark, sf, "documents").where(F.length("text").between(100, 2000)).select("doc_id")
+    docs = load(spark, sf, "documents").where(F.length("text") >= 100).select("doc_id")
     return P.patient_questions(docs, "doc_id").where("question_type = 'whatif'").select("doc_id", "question")
 
 
@@ -260,7 +255,15 @@ def correction_stub(spark: SparkSession, sf: str) -> DataFrame:
     return P.self_corrections(items, "source", "key").select("key", C.value_at(conv, 2, "gpt").alias("flawed"), C.value_at(conv, 3, "human").alias("pushback"), C.value_at(conv, 4, "gpt").alias("correction"))
 
 
-@query()
+_ASKED = f"""SELECT doc_id, 'direct' AS question_type, r - 1 AS question_ix, question, text FROM (SELECT doc_id, text, question, row_number() OVER (PARTITION BY doc_id ORDER BY {O.order_hash('patient:direct', 'doc_id', 'question')}, question) AS r
+  FROM documents, (SELECT unnest({O.strings(P.TREATMENT_QUESTIONS)}) AS question) WHERE length(text) >= 100) WHERE r <= 3 UNION ALL
+  SELECT doc_id, 'whatif', r + 2, replace(template, '{{' || name || '}}', CASE name {' '.join(f"WHEN {O.q(n)} THEN {O.pick(fills, O.order_hash(f'patient:{n}', 'doc_id'))}" for n, (_, fills) in P.WHATIF.items())} END), text FROM (
+  SELECT doc_id, text, name, template, row_number() OVER (PARTITION BY doc_id ORDER BY {O.order_hash('patient:whatif', 'doc_id', 'name')}, name) AS r
+  FROM documents, (VALUES {', '.join(f'({O.q(n)}, {O.q(t)})' for n, (t, _) in P.WHATIF.items())}) w(name, template) WHERE length(text) >= 100) WHERE r <= 2"""
+
+
+@query(f"""SELECT doc_id AS patient_id, CAST(question_ix AS INT) AS question_ix, question, answer, substr(text, 1, 100) AS patient_note_key, question_type, regexp_matches(answer, '(?s)<think>.*?</think>') AS has_thinking
+  FROM (SELECT *, {O.strip(O.STUB_ANSWER.replace('substr(chunk', 'substr(text'))} AS answer FROM ({_ASKED})) WHERE NOT {O.low_quality('answer')}""")
 def treatment_stub(spark: SparkSession, sf: str) -> DataFrame:
     return P.treatment_reasoning(load(spark, sf, "documents"), "doc_id", "text")
 
@@ -280,7 +283,9 @@ def quality_gate_profile(spark: SparkSession, sf: str) -> DataFrame:
     return judging.quality_profile(answers_of(spark, sf), "kind", "answer")
 
 
-@query()
+@query(f"""SELECT total, think_pct, marker_pct, CASE WHEN think_pct < 50 THEN 'fail' WHEN think_pct < 80 THEN 'warn' ELSE 'pass' END AS gate, CASE WHEN marker_pct < 70 THEN 'warn' ELSE 'pass' END AS marker_gate FROM (
+  SELECT CAST(sum(total) AS BIGINT) AS total, round(sum(total * think_pct) / sum(total), 4) AS think_pct, round(sum(total * marker_pct) / sum(total), 4) AS marker_pct FROM (
+  SELECT conv_id % 5 AS kind, count(*) AS total, round(count(*) FILTER (contains(answer, '<think>')) * 100.0 / count(*), 4) AS think_pct, round(count(*) FILTER ({_MARKED}) * 100.0 / count(*), 4) AS marker_pct FROM {_ANSWERS} GROUP BY 1))""")
 def quality_gate_global(spark: SparkSession, sf: str) -> DataFrame:
     return judging.quality_gate(judging.quality_profile(answers_of(spark, sf), "kind", "answer"))
 
@@ -500,9 +505,9 @@ def phantom_context(spark: SparkSession, sf: str) -> DataFrame:
 _NUMBERS = lambda x: f"regexp_extract_all({x}, '{audit.NUMBER}')"
 
 
-@query(f"SELECT doc_id, array_to_string(list_sort(list_distinct(list_filter({_NUMBERS('right(text, 300)')}, lambda v: NOT list_contains({_NUMBERS('substr(text, 1, 300)')}, v)))), ',') AS numbers FROM documents")
+@query(f"SELECT doc_id, array_to_string(list_sort(list_distinct(list_filter({_NUMBERS('substr(text, length(text) // 2 + 1)')}, lambda v: NOT list_contains({_NUMBERS('substr(text, 1, length(text) // 2)')}, v)))), ',') AS numbers FROM documents")
 def unsupported_numbers(spark: SparkSession, sf: str) -> DataFrame:
-    return load(spark, sf, "documents").select("doc_id", F.array_join(audit.unsupported_numbers(F.right("text", F.lit(300)), F.left("text", F.lit(300))), ",").alias("numbers"))
+    return load(spark, sf, "documents").select("doc_id", F.array_join(audit.unsupported_numbers(F.expr("substr(text, length(text) div 2 + 1)"), F.expr("substr(text, 1, length(text) div 2)")), ",").alias("numbers"))
 
 
 @query(f"SELECT CASE WHEN n < 90 THEN 'train' WHEN n < 95 THEN 'validation' ELSE 'test' END AS side, count(*) AS docs, count(DISTINCT k) AS sources FROM (SELECT *, {O.pick_number(O.order_hash('42', 'k'), 100)} AS n FROM (SELECT doc_id // 10 AS k FROM documents)) GROUP BY 1")
@@ -534,9 +539,9 @@ def tool_rotation(spark: SparkSession, sf: str) -> DataFrame:
     return tools.augment(docs, "doc_id", "doc_id").select("doc_id", "tool", "use_tool", "tool_failed")
 
 
-@query("SELECT source, \"group\", string_agg(substr(text, 1, 50), chr(10) || chr(10) || '---' || chr(10) || chr(10) ORDER BY doc_id) AS context, count(*) AS n FROM (SELECT *, (row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1) // 3 AS \"group\" FROM documents) GROUP BY 1, 2")
+@query("SELECT source, \"group\", string_agg(text, chr(10) || chr(10) || '---' || chr(10) || chr(10) ORDER BY doc_id) AS context, count(*) AS n FROM (SELECT *, (row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1) // 3 AS \"group\" FROM documents) GROUP BY 1, 2")
 def multi_document_context(spark: SparkSession, sf: str) -> DataFrame:
-    docs = load(spark, sf, "documents").select("doc_id", "source", F.left("text", F.lit(50)).alias("t"))
+    docs = load(spark, sf, "documents").select("doc_id", "source", F.col("text").alias("t"))
     return tools.multi_document(docs, "source", "doc_id", "t").withColumn("n", F.col("n").cast("long"))
 
 
@@ -560,7 +565,7 @@ def choice_per_row(spark: SparkSession, sf: str) -> DataFrame:
     return load(spark, sf, "documents").select("doc_id", pick(C.PUSHBACKS, seeded_hash("row", F.col("doc_id"))).alias("choice"))
 
 
-@query()
+@query(f"SELECT doc_id, [{O.stub_question(0, '1').replace('chunk', 'text')}, {O.stub_question(0, '2').replace('chunk', 'text')}] AS questions, 'extrapolated' AS verdict, 'http://x/v1/chat/completions' AS url FROM documents")
 def parse_model_replies(spark: SparkSession, sf: str) -> DataFrame:
     docs = load(spark, sf, "documents")
     reply: Column = F.concat(F.lit("```json\n"), G.stub_questions(F.col("text"), 2), F.lit("\n```"))

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..operators.cleaning import detect_columns
+from ..runtime import Workspace
 
 FORMATS = {".csv": "csv", ".jsonl": "json", ".json": "json", ".parquet": "parquet", ".orc": "orc"}
 
@@ -55,7 +56,7 @@ def with_index(df: DataFrame, order: Sequence[Column | str], name: str = "idx")
     One action counts the ranges' rows (one number for each).
     """
     ranged = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumns({"__p": F.spark_partition_id(), "__m": F.monotonically_increasing_id()})
-    ranged = ranged.persist()
+    ranged = Workspace(df.sparkSession).write(ranged, "ranged")  # a table, not a cache: lost executors lose nothing
     starts, at = [], 0
     for row in ranged.groupBy("__p").count().orderBy("__p").collect():
         starts += [F.lit(row["__p"]), F.lit(at)]
@@ -149,12 +150,44 @@ def write_manifest(spark: SparkSession, path: str, values: dict) -> None:
         out.write(bytearray(json.dumps(values, sort_keys=True).encode()))
     finally:
         out.close()
-    fs.delete(target, False)
-    fs.rename(beside, target)
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(beside.toUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    modes = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    modes[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    context.rename(beside, target, modes)  # a reader finds the old file or the new one, never none
 
 
 def read_manifest(spark: SparkSession, path: str) -> dict | None:
+    """What `write_manifest` wrote; None if there is no file or no JSON in it."""
+    if not exists(spark, path):
+        return None
     try:
         return json.loads("\n".join(r.value for r in spark.read.text(path).collect()))
-    except (AnalysisException, ValueError):
+    except ValueError:
         return None
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
+
+
+def training_columns(df: DataFrame, needed: Sequence[str] = ("conversations",), keep: Sequence[str] = ()) -> DataFrame:
+    """Only what training reads: the needed columns, which must be there, and those of `keep` that are."""
+    require_columns(df, needed)
+    return df.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*needed, *(k for k in keep if k in df.columns)])])
+
+
+def publish_by_type(df: DataFrame, path: str, kind: str = "cancer_type", end: str = "") -> None:
+    """JSON lines of each type under a name of its own in one folder: <type><end>-<n>.jsonl. Written by partition first, then renamed, one file after the other."""
+    spark = df.sparkSession
+    jvm = spark.sparkContext._jvm
+    beside, target = jvm.org.apache.hadoop.fs.Path(path + ".parts"), jvm.org.apache.hadoop.fs.Path(path)
+    write_by_type(df.withColumn("__kind", F.col(kind)), path + ".parts", "__kind")
+    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(target)
+    for folder in fs.listStatus(beside):
+        name = folder.getPath().getName()
+        if folder.isDirectory():
+            for n, part in enumerate(sorted(str(p.getPath()) for p in fs.listStatus(folder.getPath()) if p.getPath().getName().startswith("part-"))):
+                fs.rename(jvm.org.apache.hadoop.fs.Path(part), jvm.org.apache.hadoop.fs.Path(f"{path}/{name.partition('=')[2]}{end}-{n}.jsonl"))
+    fs.delete(beside, True)

@@ -6,7 +6,6 @@ number, so that a batch that runs twice replaces its own output.
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -14,6 +13,7 @@ from pyspark.sql.types import StructType
 
 from ..functions import text as T
 from ..operators.cleaning import annotate, clean_records
+from ..sources.io import exists
 
 
 def clean_stream(spark: SparkSession, source: str, schema: StructType | str, target: str, checkpoint: str, form: str = "parquet", title: str = "title", abstract: str = "abstract", category: str | None = "category", index: str = "idx", files: int | None = None) -> StreamingQuery:
@@ -21,11 +21,9 @@ def clean_stream(spark: SparkSession, source: str, schema: StructType | str, tar
 
     def batch(rows: DataFrame, number: int) -> None:
         clean = clean_records(annotate(rows, title, abstract, category, index)).withColumn("fp", T.fingerprint(F.col("abstract")))
-        try:
+        if exists(spark, f"{target}_seen"):
             seen = spark.read.parquet(f"{target}_seen").where(F.col("batch") != number)
             clean = clean.join(seen.select("fp").distinct(), "fp", "left_anti")
-        except AnalysisException:
-            pass  # the first batch
         kept = clean.withColumn("batch", F.lit(number)).persist()
         try:
             for df, path in ((kept.drop("fp"), target), (kept.select("fp", "batch"), f"{target}_seen")):

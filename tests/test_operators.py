@@ -211,3 +211,40 @@ def test_treatment_has_notes_of_any_length(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     asked = {r.patient_id for r in queries.QUERIES["treatment_stub"](spark, sf).select("patient_id").collect()}
     assert asked == {r.doc_id for r in docs.where("length(text) >= 100").select("doc_id").collect()}
+
+
+def test_ranks_of_sparse_and_clustered_positions(spark):
+    positions = [*range(0, 300), *(10**15 + 7 * k for k in range(300)), *(k * 10**12 for k in range(1, 300)), -5, 2**62]
+    df = spark.createDataFrame([(p, i % 3) for i, p in enumerate(positions)], "p long, g int")
+    ranked = position_rank(df, [], "p", bucket_rows=20).orderBy("p").collect()
+    assert [r["rank"] for r in ranked] == list(range(1, len(positions) + 1))
+    held = position_rank(df, ["g"], "p", weight=F.col("g") + 1, bucket_rows=20).orderBy("g", "p").collect()
+    for g in range(3):
+        assert [r["rank"] for r in held if r.g == g] == [k * (g + 1) for k in range(sum(r.g == g for r in held))]
+    assert position_rank(df.where("p IS NULL"), [], "p").count() == 0
+
+
+def test_batches_of_a_very_large_group(spark):
+    df = spark.range(900).select("id", F.when(F.col("id") < 700, 0).otherwise(F.col("id") % 20).alias("g"))
+    by = lambda rows: {(r.id, r.batch, r.slot) for r in C.batches(df, ["g"], 1, ["id"], 4, rows).collect()}
+    assert by(50) == by(10_000)
+
+
+def test_system_messages_reach_the_generator(spark):
+    class Says:
+        def generate(self, prompts, settings, systems=None):
+            return [(f"{s} / {p}", None, "ok") for p, s in zip(prompts, systems or [None] * len(prompts))]
+
+    df = spark.createDataFrame([("a", "b")], "kind string, q string")
+    phase = P.Phase(Says())
+    row = phase.reply(df, "x", "answer", F.col("q"), F.lit(""), F.col("kind")).first()
+    assert row.x == P.SYSTEMS["answer"].replace("{kind}", "A") + " / b"
+    assert phase.reply(df, "x", "questions", F.col("q"), F.lit("")).first().x == "None / b"
+
+
+def test_token_counter_can_be_given(spark):
+    from corpusforge.functions import sentences as S
+
+    text = "One two three four five six seven eight nine ten. " * 8
+    df = spark.createDataFrame([(text,)], "t string").select(S.token_chunks(F.col("t"), 20, lambda s: len(s.split())).alias("c"))
+    assert [len(c.split()) for c in df.first().c] == [20, 20, 20, 20]

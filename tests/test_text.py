@@ -60,7 +60,7 @@ def test_questions(spark):
 
 def test_category_names_and_urls(spark):
     assert apply(spark, T.category, [" Lung Cancer ", "A-B/c", None, "!!"]) == ["lung_cancer", "abc", "unknown", "unknown"]
-    assert apply(spark, T.display_name, ["pubmed_lung_cancer"]) == ["Lung Cancer"]
+    assert apply(spark, lambda c: T.display_name(c, "set_"), ["set_lung_cancer"]) == ["Lung Cancer"]
     assert apply(spark, T.chat_url, ["http://h/v1/", "http://h", "http://h/v1/chat/completions"]) == ["http://h/v1/chat/completions"] * 3
 
 
@@ -74,3 +74,18 @@ def test_leaks_and_markers(spark):
     assert apply(spark, T.is_leaked, ["this abstract says"], True) == [True]
     assert apply(spark, T.has_marker, ["EGFR positive"]) == [True]
     assert apply(spark, T.has_marker, ["EGFR positive"], True) == [False]
+
+
+def test_python_and_native_rules_agree(spark):
+    """Texts put together from pieces that the rules treat apart: each function on a Python text gives what the expression gives."""
+    import random
+
+    from corpusforge.functions import sentences as S
+
+    rnd = random.Random(1)
+    pieces = ["vs.", "al.", "e.g.", "U.S.", "no.", "Fig.", "The", "word", '"Hi', "(a)", "end!", 'what?"', "\n", "\n\n", "\t", "..", "3.5", "i.e.", "ß.", "É", "_vs.", "1vs.", "\xa0", ".)", "al.vs.", "e.g.al.", "p.o.o.", "&amp;", "“q”", "—", "\x1f", "retracted", "Withdrawn", "é", "İ", "日本"]
+    rows = [(i, "".join(rnd.choice(pieces) + rnd.choice(["", " ", "  "]) for _ in range(rnd.randint(0, 50)))) for i in range(1500)]
+    t = F.col("t")
+    df = spark.createDataFrame(rows, "id int, t string").select("t", S.sentences(t).alias("s"), T.normalize(t).alias("n"), T.fingerprint(t).alias("f"), F.coalesce(T.is_english(t), F.lit(False)).alias("e"), T.is_retracted(F.lit(""), t).alias("r"))
+    for r in df.collect():
+        assert (S.split_sentences(r.t), T.normalize_text(r.t), T.fingerprint_text(r.t), T.is_english_text(r.t), T.is_retracted_text("", r.t)) == (r.s, r.n, r.f, r.e, r.r)
