@@ -190,16 +190,56 @@ def test_cosine_is_that_of_all_stretches():
     for _ in range(30):
         words = [rnd.choice(["the", "license", "mit", "under", "released", "version", "gnu", "public", "cat", "general", "licensed"]) for _ in range(rnd.randint(1, 25))]
         best = 0.0
-        for _, size, vector in t.vectors:
-            for s in range(max(1, len(words) - size + 1)):
-                part = words[s : s + size]
-                if licenses.CUES & set(part):
+        text = f" {' '.join(words)} "
+        for template in t.stretches:
+            for s in range(max(1, len(words) - template.size + 1)):
+                part = words[s : s + template.size]
+                if licenses.CUES & set(part) and all(m in part for m in template.must) and t.allowed(template.name, text):
                     c = Counter(part)
                     norm = math.sqrt(sum((k * t.idf.get(w, t.unseen)) ** 2 for w, k in c.items()))
-                    best = max(best, sum(vector.get(w, 0) * k * t.idf.get(w, t.unseen) for w, k in c.items()) / norm)
+                    best = max(best, sum(template.vector.get(w, 0) * k * t.idf.get(w, t.unseen) for w, k in c.items()) / norm)
         assert abs(t.best(words)[1] - best) < 1e-9
 
 
+def test_whole_licences_and_their_relatives():
+    """Each whole licence, with a holder's line, in capitals, with lines cut off, and inside a long source file; relatives are told apart."""
+    t = licenses.default_templates()
+    for path in licenses.TEXTS.glob("*.txt"):
+        text = path.read_text()
+        for form in (text, "Copyright (c) 2021 Jane Doe and others.\n" + text.upper(), text[: len(text) * 95 // 100]):
+            name, score, whole = t.match(form)
+            assert (name, whole) == (path.stem, True) and score > 0.9
+        if len(text) < 1_600:
+            assert t.match("some code " * 4_000 + text + " more code" * 4_000)[::2] == (path.stem, False)
+    for text, name in (
+        ("// SPDX-License-Identifier: (MIT OR apache-2.0)\ncode " * 1 + "x " * 90, "MIT OR Apache-2.0"), ("# SPDX-License-Identifier: GPL-2.0-or-later", "GPL-2.0"), ("licensed under the GNU Lesser General Public License, version 2.1", "LGPL-2.1"),
+        ("licensed under the GNU Affero General Public License, version 3", "AGPL-3.0"), ("This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.", "CC-BY-NC-4.0"), ("a licence to drive, and the copyright of songs", None),
+    ):
+        assert t.match(text)[0] == name
+
+
+def test_inheritance_is_that_of_plain_code(spark):
+    rnd = random.Random(4)
+    folders = ["/r", "/r/a", "/r/a/b", "/r/a/b/c", "/r/d", "/r/d/e", "/s", "/s/t", ""]
+    texts = [None, "", "code and nothing else", "Released under the MIT License.", "Licensed under CC BY 4.0.", "words " * 60 + "Licensed under the Apache License, Version 2.0.", (licenses.TEXTS / "GPL-3.0.txt").read_text()]
+    rows = [(f"{rnd.choice(folders)}/f{i % 40}", rnd.choice(texts), "x") for i in range(120)]
+    got = licenses.inherit_licenses(licenses.match_licenses(spark.createDataFrame(rows, "path string, text string, license string"))).collect()
+    t = licenses.default_templates()
+    files = [(p, *(t.match(x or ""))) for p, x, _ in rows]
+    held = {}
+    for p, name, score, whole in files:
+        if whole:
+            folder = p.rpartition("/")[0]
+            held[folder] = min(held.get(folder, (9, "", "")), (-score, p, name))
+    expected = []
+    for p, name, _, _ in files:
+        folder = p.rpartition("/")[0]
+        up = ["/".join(folder.split("/")[: k + 1]) for k in range(len(folder.split("/")))]
+        near = next((f for f in reversed(up) if f in held), None)
+        expected.append((p, name or (held[near][2] if near is not None else None), "own" if name else "none" if near is None else "inherited", folder if name else near))
+    assert sorted(map(repr, expected)) == sorted(repr((r.path, r.effective_license, r.license_origin, r.license_dir)) for r in got)
+
+
 def test_language_model(spark, corpus, odd):
     out = {r.doc_id: r for r in lm.score_texts(corpus, queries.id_remainder(7) != 2, head=40).collect()}
     tokens = {r.doc_id: [*re.findall(r"[^\x20\x09-\x0D]+", r.text), None] for r in corpus.collect()}
