@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..runtime import Workspace
+
 #: The hash's linear congruential generator.
 MULTIPLIER, MODULUS = 2862933555777941757, 18446744073709551616
 #: Steps written out before the rare remainder goes through a loop over all shards; a hash over n shards takes about ln(n) steps.
@@ -47,7 +49,9 @@ def jump_shard(key: str, shards: int) -> Column:
     body = first
     for _ in range(UNROLLED):
         body = f"transform(array({body}), s -> {_step('s', n)})[0]"
-    rest = f"aggregate(sequence(1, {shards}), s, (s, i) -> {_step('s', n)})"
+    walk = lambda state, steps: f"aggregate(sequence(1, {steps}), {state}, (s, i) -> {_step('s', n)})"
+    likely = min(shards, 64 + 4 * shards.bit_length())  # a hash takes about ln(shards) steps; more than this many are as good as impossible, and still counted
+    rest = f"transform(array({walk('s', likely)}), s -> CASE WHEN s.j >= {n} THEN s ELSE {walk('s', shards)} END)[0]" if likely < shards else walk("s", shards)
     return F.expr(f"CAST(transform(array({body}), s -> CASE WHEN s.j >= {n} THEN s ELSE {rest} END)[0].b AS INT)")
 
 
@@ -55,7 +59,8 @@ def assign_shards(df: DataFrame, shards: int, key: str = "doc_id", rows_per_buck
     """df plus `shard`, `grown_shard` (with one more shard) and `slot`, the row's gapless position from 0 within its shard.
 
     Slots: each shard's rows fall into hash buckets of bounded size; a bucket is numbered locally and starts where the buckets before it end, so no task orders a whole shard. The bucket count follows the row count (`rows`, counted if not given).
-    Rows are ordered by bucket, then key, then all other columns, so repeated rows are interchangeable. NULL keys share one key, 0. An empty table gives an empty result; columns called shard, grown_shard or slot are replaced.
+    A bucket that one key fills beyond four times `rows_per_bucket` (null keys share one key, 0) is cut further by a hash of all columns: only rows that are equal in every column stay together.
+    Rows are ordered by bucket, then key, then all other columns, so repeated rows are interchangeable. An empty table gives an empty result; columns called shard, grown_shard or slot are replaced.
     """
     rows = df.count() if rows is None else rows
     buckets = max(64, -(-rows // (rows_per_bucket * shards)))
@@ -67,14 +72,22 @@ def assign_shards(df: DataFrame, shards: int, key: str = "doc_id", rows_per_buck
         "grown_shard": jump_shard(f"`{key}`", shards + 1),
         "__bucket": F.expr(f"CAST(pmod({mixed}, {buckets}L) AS INT)"),
     })
-    sizes = placed.groupBy("shard", "__bucket").agg(F.count("*").alias("__n"))
-    before = Window.partitionBy("shard").orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select("shard", "__bucket", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"))  # shards x buckets rows
+    at = ["shard", "__bucket"]
+    sizes = Workspace(df.sparkSession).write(placed.groupBy(*at).agg(F.count("*").alias("__n")), "sizes")  # shards x buckets rows
+    hashable = [F.col(f"`{c}`") for c, kind in clean.dtypes if not kind.startswith(("map", "variant"))]
+    full = sizes.where(F.col("__n") > 4 * rows_per_bucket)
+    if not full.isEmpty():
+        cut = full.select(*at, F.ceil(F.col("__n") / rows_per_bucket).alias("__cut"))  # one row at most for so many rows
+        placed = placed.join(F.broadcast(cut), at, "left").withColumn("__part", F.when(F.col("__cut").isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64(F.lit(5), *hashable), F.col("__cut")))).drop("__cut")
+        at = [*at, "__part"]
+        sizes = placed.groupBy(*at).agg(F.count("*").alias("__n"))
+    before = Window.partitionBy("shard").orderBy(*at[1:]).rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select(*at, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"))
     order = [F.col(f"`{key}`"), *(F.col(f"`{c}`") for c, kind in clean.dtypes if c != key and not kind.startswith(("map", "variant")))]
-    local = Window.partitionBy("shard", "__bucket").orderBy(*order)
+    local = Window.partitionBy(*at).orderBy(*order)
     numbered = placed.withColumn("__row", F.row_number().over(local) - 1)
     return (
-        numbered.join(starts, ["shard", "__bucket"])
+        numbered.join(starts, at)
         .withColumn("slot", (F.col("__start") + F.col("__row")).cast("long"))
         .select(*[F.col(f"`{c}`") for c in clean.columns], "shard", "slot", "grown_shard")
     )
