@@ -43,16 +43,16 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .toxicity import score_toxicity
 
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", (id_remainder(3) == 1).alias("held_out"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.coalesce(id_remainder(3) == 1, F.lit(True)).alias("held_out"))
     return score_toxicity(docs, toxicity_lexicon(spark, sf_dir, docs), keep=["doc_id", "held_out"])
 
 
 def toxicity_lexicon(spark: SparkSession, sf_dir: str, docs: DataFrame):
     """Learned from labelled rows outside the held-out third.
 
-    The labels are sampled before they meet the texts (SAMPLE_ROWS bounds the broadcast), and the labelled texts are written once for the passes over them: the corpus itself is never shuffled.
+    The labels are sampled before they meet the texts (they are broadcast if a count finds them few enough), and the labelled texts are written once for the passes over them: the corpus itself is never shuffled.
     """
-    from ..runtime import Workspace
+    from ..runtime import Workspace, small_side
     from .toxicity import SAMPLE_ROWS, learn_lexicon
 
     labels = table(spark, sf_dir, "labels").select("doc_id", "toxic").where(id_remainder(3) != 1)
@@ -60,7 +60,7 @@ def toxicity_lexicon(spark: SparkSession, sf_dir: str, docs: DataFrame):
     sample = labels.where(F.pmod(F.xxhash64(F.lit(7), "doc_id"), F.lit(share)) == 0)
     work = Workspace(spark)
     try:
-        return learn_lexicon(work.write(docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id"), "labelled"))
+        return learn_lexicon(work.write(docs.select("doc_id", "text").join(small_side(work.write(sample, "sample")), "doc_id"), "labelled"))
     finally:
         work.close()
 

@@ -1,8 +1,8 @@
 """Toxicity by a weighted lexicon.
 
 Texts are folded (case, accents, homoglyphs, digits and signs that stand for letters), the lexicon is matched by Aho-Corasick on whole
-words, hits inside exception phrases don't count, and the weights are set against the text's length. Entries, exceptions and the
-four numbers that turn hits into a probability are learned from labelled rows.
+words, hits inside exception phrases don't count, and the weights are set against the text's length. Entries, exceptions (beside
+those that a caller states) and the four numbers that turn hits into a probability are learned from labelled rows.
 """
 
 from __future__ import annotations
@@ -41,7 +41,7 @@ SAMPLE_ROWS, LEXICON_SIZE, LEAST_ROWS, LEAST_LIFT, LEAST_SIGMA, LEAST_CALIBRATIO
 
 @lru_cache(maxsize=1)
 def _fold_table() -> dict[int, str]:
-    table = {ord(k): v for k, v in HOMOGLYPHS.items()} | {ord(k): v for k, v in DIGITS.items()}
+    table = {ord(k): v for k, v in HOMOGLYPHS.items()}
     for code in [*range(0xC0, 0x250), *range(0x1E00, 0x1F00), *range(0xFF21, 0xFF5B)]:  # accents and full-width forms
         if code not in table and len(base := unicodedata.normalize("NFKD", chr(code)).lower()) and base[0].isascii() and base[0].isalpha() and all(unicodedata.combining(c) for c in base[1:]):
             table[code] = base[0]
@@ -54,18 +54,38 @@ def _sign_rule():
     return regex.compile(rf"(?<=\p{{L}})[{signs}]+(?=\p{{L}})|(?<![\p{{L}}{signs}])[{signs}](?=\p{{L}})")
 
 
+@lru_cache(maxsize=1)
+def _digit_rule():
+    signs = "".join(map(regex.escape, SIGNS))
+    return regex.compile(rf"[\p{{L}}{signs}]*\d[\p{{L}}\d{signs}]*"), str.maketrans(DIGITS)
+
+
+def _letters_for_digits(m) -> str:
+    """Digits stand for letters in a word that has letters; a plain number stays a number."""
+    word = m.group()
+    return word.translate(_digit_rule()[1]) if any(c.isalpha() for c in word) else word
+
+
 _ZERO_WIDTH = {0x200B: None, 0x200C: None, 0x200D: None, 0xAD: None, 0xFEFF: None}
 
 
+_HAS_DIGIT = regex.compile(r"[0-9]")
+
+
 def fold(text: str) -> str:
     """Lower case, without accents, look-alikes and substitutions."""
-    folded = text.lower().translate(_fold_table() | (_ZERO_WIDTH if not text.isascii() else {}))
+    folded = text.lower()
+    if not folded.isascii():
+        folded = folded.translate(_fold_table() | _ZERO_WIDTH)
+    if _HAS_DIGIT.search(folded):
+        folded = _digit_rule()[0].sub(_letters_for_digits, folded)
     if any(s in folded for s in SIGNS):
         folded = _sign_rule().sub(lambda m: "".join(SIGNS[c] for c in m.group()), folded)
     return folded
 
 
 WORDS = regex.compile(r"\p{L}+")
+_WORD_BEFORE, _WORD_AFTER = regex.compile(r"(\p{L}+) $"), regex.compile(r" (\p{L}+)")
 
 
 @dataclass
@@ -136,18 +156,40 @@ def _words_by_class(df: DataFrame, text_col: str, label_col: str) -> DataFrame:
             labels = batch.column(1).to_pylist()
             for text, label in zip(texts_of(batch.column(0)), labels, strict=True):
                 for word in set(WORDS.findall(fold(text))):
-                    if 3 <= len(word) <= 40:
+                    if len(word) >= 2:
                         seen.setdefault(word, [0, 0])[1 if label else 0] += 1
             yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array([v[1] for v in seen.values()], pa.int64()), pa.array([v[0] for v in seen.values()], pa.int64())], names=["word", "toxic", "other"])
 
     return df.select(text_col, F.col(label_col).cast("int")).mapInArrow(count, "word string, toxic long, other long").groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
 
 
+def _harmless_phrases(df: DataFrame, text_col: str, label_col: str, lexicon: Lexicon, size: int) -> list[str]:
+    """Two-word phrases around an entry that LEAST_ROWS or more rows have and no toxic one, `size` at most, those of most rows first."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            seen: dict[str, list[int]] = {}
+            for text, label in zip(texts_of(batch.column(0)), batch.column(1).to_pylist(), strict=True):
+                hits, folded = lexicon.hits(text)
+                phrases = set()
+                for start, stop, _, entry in hits:
+                    if (m := _WORD_BEFORE.search(folded, max(0, start - 60), start)) is not None:
+                        phrases.add(f"{m[1]} {entry}")
+                    if (m := _WORD_AFTER.match(folded, stop)) is not None:
+                        phrases.add(f"{entry} {m[1]}")
+                for phrase in phrases:
+                    seen.setdefault(phrase, [0, 0])[1 if label else 0] += 1
+            yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array([v[1] for v in seen.values()], pa.int64()), pa.array([v[0] for v in seen.values()], pa.int64())], names=["phrase", "toxic", "other"])
+
+    counted = df.select(text_col, F.col(label_col).cast("int")).mapInArrow(count, "phrase string, toxic long, other long").groupBy("phrase").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
+    return [r.phrase for r in counted.where((F.col("toxic") == 0) & (F.col("other") >= LEAST_ROWS)).orderBy(F.desc("other"), "phrase").limit(size).collect()]
+
+
 def learn_lexicon(labelled: DataFrame, text_col: str = "text", label_col: str = "toxic", id_col: str = "doc_id", sample_rows: int = SAMPLE_ROWS, size: int = LEXICON_SIZE, exceptions: tuple[str, ...] = EXCEPTIONS) -> Lexicon:
     """Fit on labelled rows (0/1), at most about `sample_rows` of them, by a hash of `id_col`; null labels are left out.
 
     An entry is a word whose rate among toxic rows is LEAST_LIFT times its rate among others or more, in LEAST_ROWS toxic rows or more; its weight is the log of the smoothed ratio of rates.
-    At most `size` entries come to the driver. Without labelled rows the seed lexicon stands alone.
+    Phrases of two words around an entry that occur in other rows only become exceptions. At most `size` entries and `size` phrases come to the driver, those of most weight first. Without labelled rows the seed lexicon stands alone.
     """
     rows = labelled.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
     n = {bool(r[0]): r[1] for r in rows.groupBy(F.col(label_col) > 0).count().collect()}
@@ -173,7 +215,7 @@ def learn_lexicon(labelled: DataFrame, text_col: str = "text", label_col: str =
     weights = {r.word: float(r.weight) for r in best}
     for word in SEED_LEXICON:
         weights.setdefault(word, 2.0)
-    lexicon = Lexicon(weights, exceptions)
+    lexicon = Lexicon(weights, tuple(dict.fromkeys([*exceptions, *_harmless_phrases(rows, text_col, label_col, Lexicon(weights, exceptions), size)])))
 
     def featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
