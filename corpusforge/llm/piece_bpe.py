@@ -26,6 +26,14 @@ BLANK = "▁"
 CACHE_ENTRIES, CACHE_CHARS, PAIR_ENTRIES = 250_000, 48, 1_000_000
 
 
+class UnsupportedModel(ValueError):
+    """The model's type, normaliser or blanks are none that the prefix table knows."""
+
+
+#: Texts on which a model's own encoding and decoding must agree with the table's: blanks in all places, other scripts and forms, bytes, and what is no piece.
+PROBES = ("", " ", "a", " a", "a ", "  a   b  ", "a\tb\nc\r\n d", "\u3000x\u00a0y", "Ａｂｃ ﬁ ½ ①", "é e\u0301 ß ẞ İ", "日本語 한국어 हिन्दी", "😀 \u200d \ufeff \u2581 x", "x\u0000y", "The quick brown fox, 12345.67!", "<s> </s> <unk> <0x41>")
+
+
 class PieceTable:
     """What a merge-type model's pieces say: ranks, how each piece was merged, and which characters pieces may join."""
 
@@ -59,7 +67,8 @@ class PieceTable:
         self._loose = {c for c in joined if c not in self.id}  # occurs in pieces, but is none itself: never merged
         self.joined = frozenset(joined - self._loose)
         letters = "".join(regex.escape(c) for c in sorted(self.joined) if c != BLANK)
-        assert all(BLANK not in t.lstrip(BLANK) for t in self.text.values()), "a piece has a blank inside"
+        if any(BLANK in t.lstrip(BLANK) for t in self.text.values()):
+            raise UnsupportedModel(f"{path}: a piece has a blank inside")
         self.parts = regex.compile(f"{BLANK}*[{letters}]+|{BLANK}+|.", regex.S | regex.V0)
         self.raw = [b"" if model.is_control(i) or model.is_unused(i) else bytes([int(model.id_to_piece(i)[3:5], 16)]) if model.is_byte(i) else b" \xe2\x81\x87 " if model.is_unknown(i) else self.text[i].replace(BLANK, " ").encode() for i in range(size)]
         self.pairs: dict[int, bool] = {}
@@ -141,6 +150,10 @@ class Codec(dict):
     def __init__(self, path: str):
         super().__init__()
         self.table, self.old = PieceTable(path), {}
+        for probe in PROBES:
+            ids = self.encode(probe)
+            if ids.tolist() != self.table.model.encode(probe, add_bos=True, add_eos=True) or self.decode(ids) != self.table.model.decode(ids.tolist()):
+                raise UnsupportedModel(f"{path}: {probe!r} is encoded in another way")
 
     def __missing__(self, word: str) -> bytes:
         ids = self.old.get(word)
@@ -187,7 +200,7 @@ def codec(path: str) -> Codec:
 def encode_pieces(df: DataFrame, path: str, text_col: str = "text", bos: bool = True, eos: bool = True, with_ids: bool = True, digests: bool = True, keep: list[str] | None = None) -> DataFrame:
     """df plus n_tokens and, as asked, `ids` (array<int>) and `decoded`, or their digests ids_sha256 and decoded_sha256.
 
-    Ids equal those of the sentencepiece library on the same model. A null text counts as empty and has the begin and end ids only.
+    Ids equal those of the sentencepiece library on the same model; a model whose type, normaliser or treatment of blanks the table doesn't know raises UnsupportedModel (PROBES are compared when it is read). A null text counts as empty and has the begin and end ids only.
     Texts are encoded whole, of any length. Repeated rows are encoded each; an empty table gives an empty result; clashing columns are replaced.
     """
 

@@ -267,6 +267,29 @@ def test_links_of_a_bucket_led_by_other_texts(spark):
     assert {r.doc_id: r.component_id for r in neardup.near_duplicates(df, bands=1, rows=1).collect()} == expected
 
 
+def test_a_key_with_very_many_rows_is_split(spark):
+    """Null keys fill one bucket far beyond its size: slots stay gapless, and no window holds them all."""
+    df = spark.range(4_000).select(F.when(F.col("id") >= 3_000, F.col("id")).alias("doc_id"), F.col("id").alias("n"), F.lit("c").alias("slot"))
+    out = sharding.assign_shards(df, 8, rows_per_bucket=100)
+    rows = out.collect()
+    slots = {}
+    for r in rows:
+        slots.setdefault(r.shard, []).append(r.slot)
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values()) and len(rows) == 4_000 and {r.n for r in rows} == set(range(4_000))
+    assert {r.shard for r in rows if r.doc_id is None} == {plain_jump(0, 8)}
+    assert "__part" in out._jdf.queryExecution().analyzed().toString()
+
+
+def test_other_files_are_refused(tmp_path):
+    spec = json.loads(open(BPE, encoding="utf-8").read())
+    for change in ({"normalizer": {"type": "NFC"}}, {"pre_tokenizer": {"type": "Whitespace"}}, {"pre_tokenizer": spec["pre_tokenizer"] | {"add_prefix_space": True}}):
+        path = tmp_path / "other.json"
+        path.write_text(json.dumps({k: v for k, v in (spec | change).items() if k != "model"} | {"model": {"type": "BPE"}}))
+        with pytest.raises(token_counts.UnsupportedTokenizer):
+            token_counts.check_file(str(path))
+    token_counts.check_file(BPE)
+
+
 @pytest.mark.parametrize("block", [1024, 16])
 def test_links_inside_a_template_family(spark, block):
     """All texts share one template at just under the threshold, and 30 pairs of them reach it: whatever the blocks, each pair is found."""

@@ -138,6 +138,47 @@ def test_folding():
     assert [h[3] for h in lexicon.hits("a TR4SH. trash can, trashy clown fish clоwn")[0]] == ["trash", "clown"]
 
 
+def test_plain_numbers_are_no_words():
+    assert [toxicity.fold(x) for x in ("455", "8008 5318", "1d10t", "h4te 4", "$tup1d 7even", "a 3x 3")] == ["455", "8008 5318", "idiot", "hate 4", "stupid teven", "a ex 3"]
+
+
+def plain_hits(lexicon, text):
+    """Whole words and phrases by plain search in the folded text."""
+    folded = toxicity.fold(text)
+    edge = lambda a, b: not (a and folded[a - 1].isalnum()) and not (b < len(folded) and folded[b].isalnum())
+    places = lambda what: {(a, a + len(what)) for a in range(len(folded)) if folded.startswith(what, a) and edge(a, a + len(what))}
+    harmless = set().union(*(places(toxicity.fold(p)) for p in lexicon.exceptions), set())
+    return sorted((a, b, w) for w in lexicon.weights for a, b in places(w) if not any(x <= a and b <= y for x, y in harmless))
+
+
+def test_matching_is_that_of_plain_code():
+    """The automaton with exceptions, against plain search: entries inside others, at borders, inside and across exception phrases."""
+    rnd = random.Random(7)
+    lexicon = toxicity.Lexicon({"trash": 2.0, "ash": 1.0, "clown": 1.5, "can": 1.0, "trash talk": 3.0, "scum": 2.0}, ("trash can", "pond scum", "class clown car"))
+    pieces = ["trash", "tr4sh", "ash", "can", "class", "clown", "c1own", "car", "pond", "$cum", "scum", "talk", "trashcan", "455", "!", "-", "\u0430sh", "\u00e9", "x"]
+    for _ in range(400):
+        text = "".join(rnd.choice(pieces) + rnd.choice([" ", " ", "", ". "]) for _ in range(rnd.randint(0, 14)))
+        assert sorted((a, b, w) for a, b, _, w in lexicon.hits(text)[0]) == plain_hits(lexicon, text)
+
+
+def test_exceptions_are_learned(spark):
+    """A word that is toxic alone and harmless in one phrase."""
+    rnd = random.Random(2)
+    word = lambda: "".join(rnd.choice(["ba", "do", "li", "me", "ru"]) for _ in range(3))
+    rows = []
+    for i in range(1500):
+        toxic = i % 5 == 0
+        words = [word() for _ in range(rnd.randint(10, 40))]
+        if toxic:
+            words[3:3] = ["zorgle"]
+        elif i % 15 == 1:
+            words[3:3] = ["zorgle", "pie"]
+        rows.append((i, " ".join(words), int(toxic)))
+    lexicon = toxicity.learn_lexicon(spark.createDataFrame(rows, "doc_id long, text string, toxic int"))
+    assert "zorgle pie" in lexicon.exceptions and "zorgle" in lexicon.weights
+    assert not lexicon.hits("a zorgle pie")[0] and lexicon.hits("a zorgle")[0]
+
+
 def test_toxicity_learns(spark, odd):
     rnd = random.Random(9)
     word = lambda: "".join(rnd.choice(["ba", "do", "li", "me", "ru"]) for _ in range(3))
