@@ -33,12 +33,12 @@ FEATURES = (
     "test_path", "setting_path", "secret_word", "other_word", "assigned", "quoted",
 )
 _NAME = rf"(?i:{SECRET_WORDS})[A-Za-z0-9_.-]{{0,16}}[\"']?[ ]{{0,2}}(?::=|=>|=|:)[ ]{{0,2}}"
-#: Candidates, in the order in which they are tried at a place: a private key block; a quoted or bare value assigned to a name of secrets; a password in an address; sixteen or more characters of keys with a digit among them.
+#: Candidates, in the order in which they are tried at a place: a private key block; a quoted or bare value assigned to a name of secrets; a password in an address; sixteen or more characters of keys with a digit among them. One character is looked at before what stands further back.
 CANDIDATE = (
     r"-----BEGIN [A-Z0-9 ]{0,30}PRIVATE KEY-----[A-Za-z0-9+/=\s\\]*+(?:-----END [A-Z0-9 ]{0,30}PRIVATE KEY-----)?"
-    rf"|(?<=[=:>][ ]{{0,2}}[\"'])(?<={_NAME}[\"'])[^\"'\n]{{4,}}"
-    rf"|(?<=[=:>][ ]{{0,2}})(?<={_NAME})[^\s\"',;]{{4,}}"
-    r"|(?<=://[A-Za-z0-9._-]{1,40}:)[^\s/@:\"']{4,}(?=@)"
+    rf"|(?<=[\"'])(?<=[=:>][ ]{{0,2}}[\"'])(?<={_NAME}[\"'])[^\"'\n]{{4,}}"
+    rf"|(?<=[=:> ])(?<=[=:>][ ]{{0,2}})(?<={_NAME})[^\s\"',;]{{4,}}"
+    r"|(?<=:)(?<=://[A-Za-z0-9._-]{1,40}:)[^\s/@:\"']{4,}(?=@)"
     r"|(?<![A-Za-z0-9+/_\-])(?=[A-Za-z+/_\-]*[0-9])[A-Za-z0-9+/_\-]{16,}={0,2}"
 )
 
