@@ -336,11 +336,43 @@ def test_language_model(spark, corpus, odd):
 
 
 def test_probabilities_sum_to_one():
+    """Over all words of two classes of two subclasses, the tail's words, and the unknown."""
     rnd = np.random.default_rng(1)
-    counts = rnd.integers(1, 50, 20).astype(float)
-    classes = rnd.integers(0, 4, 20)
-    mass = np.append(np.bincount(classes, counts + 1, minlength=4), 7 + 5 + 1.0)  # five tail words with seven tokens, and the unknown
-    weights = rnd.normal(0, 1, (lm.FEATURES, 5)).astype(np.float32)
-    p = lm._probabilities(weights, np.log(mass / mass.sum()).astype(np.float32), np.array([[1], [2], [3], [4]], np.uint16))[0]
-    tail = [(c + 1) / mass[4] for c in (1, 1, 1, 2, 2)] + [1 / mass[4]]
-    assert abs(sum(p[c] * (k + 1) / mass[c] for c, k in zip(classes, counts, strict=True)) + p[4] * sum(tail) - 1) < 1e-5
+    counts = rnd.integers(1, 50, 40).astype(float)
+    outer, inner = rnd.integers(0, 2, 40), rnd.integers(0, 2, 40)
+    mass = np.bincount(outer * 2 + inner, counts + 1, minlength=4).reshape(2, 2)
+    tail = 7 + 5 + 1.0  # five words with seven tokens, and the unknown
+    weights = tuple(rnd.normal(0, 1, (64, k)).astype(np.float32) for k in (3, 2))
+    model = lm.Model(np.arange(40, dtype=np.uint64) * np.uint64(8), outer, inner, counts, mass, tail, weights, 0, 0)
+    (first, second), rows = model.biases(), np.array([[1], [2], [3], [4]], np.uint16)
+    p = lm._probabilities(weights[0], first, rows)[0]
+    total = p[2] * (sum((c + 1) / tail for c in (1, 1, 1, 2, 2)) + 1 / tail)
+    for c in range(2):
+        q = lm._probabilities(weights[1], second[np.array([c])], lm.within(rows, np.array([c]), 64))[0]
+        for sub in range(2):
+            share = p[c] * q[sub] / 10 ** model.log_mass(np.array([c]), np.array([sub]))[0]
+            total += sum(share * (k + 1) for k in counts[(outer == c) & (inner == sub)])
+    assert abs(total - 1) < 1e-5
+
+
+def test_untrained_model_is_the_base(spark, corpus):
+    """Without rounds of gradients the score is the add-one unigram score, with a head of any size; the gradient is that of the likelihood."""
+    for head in (1 << 18, 30, 0):
+        assert all(abs(r.score - r.base_score) < 1e-3 * r.n_tokens for r in lm.score_texts(corpus, F.lit(True), head=head, rounds=0).collect())
+    rnd = np.random.default_rng(2)
+    weights, bias, rows, classes = rnd.normal(0, 1, (64, 3)).astype(np.float32), np.zeros(3, np.float32), rnd.integers(0, 64, (4, 50)).astype(np.uint16), rnd.integers(0, 3, 50)
+    likelihood = lambda w: np.log(lm._probabilities(w.astype(np.float32), bias, rows)[np.arange(50), classes]).sum()
+    step = weights.copy()
+    lm.update(step, np.zeros(64, np.float32), np.zeros(64, np.float32), bias, rows, classes)
+    assert likelihood(step) > likelihood(weights) + 1
+    assert [lm.feature_rows(n) for n in (0, 2_000_000, 10**12)] == [lm.LEAST_FEATURES, 8_192, lm.MOST_FEATURES]
+
+
+def test_context_tells_frequent_words_apart(spark):
+    """Two words follow two others without exception: held-out texts gain most of the bits of that choice."""
+    rnd = random.Random(3)
+    pairs = [("left", "right"), ("up", "down"), ("hot", "cold"), ("day", "night")]
+    texts = [(i, " ".join(w for _ in range(40) for w in rnd.choice(pairs))) for i in range(400)]
+    rows = lm.score_texts(spark.createDataFrame(texts, "doc_id long, text string"), queries.id_remainder(7) != 2).where("held_out").collect()
+    gain = sum(r.score - r.base_score for r in rows) / sum(r.n_tokens for r in rows)
+    assert gain > 0.25  # a second word of a pair costs 0.9 without context and next to nothing with it
\ No newline at end of file
