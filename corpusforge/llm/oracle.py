@@ -36,4 +36,18 @@ placed AS (SELECT *, mixed % greatest(64, CAST(ceil((SELECT count(*) FROM docume
 SELECT doc_id, size, text_crc32, 'key' AS law, shard, row_number() OVER (PARTITION BY shard ORDER BY bucket, doc_id NULLS FIRST, size, text_crc32) - 1 AS slot, grown_shard FROM placed
 """
 
-ORACLE_SQL = {"op3_sharding": SHARDING}
+#: All pairs of documents that share a shingle; components by following links.
+_LOWERED = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+NEAR_DUPLICATES = f"""
+WITH RECURSIVE words AS MATERIALIZED (SELECT doc_id, regexp_extract_all({_LOWERED}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+sets AS MATERIALIZED (SELECT doc_id, CASE WHEN coalesce(len(w), 0) = 0 THEN CAST([] AS VARCHAR[]) WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+  ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s FROM words),
+shingles AS MATERIALIZED (SELECT doc_id, len(s) AS n, hash(x) AS h, x FROM (SELECT doc_id, s, unnest(s) AS x FROM sets)),
+links AS MATERIALIZED (SELECT a.doc_id AS a, b.doc_id AS b FROM shingles a JOIN shingles b ON a.h = b.h AND a.x = b.x AND a.doc_id <> b.doc_id AND a.n * 100 >= b.n * 75 AND b.n * 100 >= a.n * 75
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))),
+reached(a, b) AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reached r JOIN links l ON r.b = l.a),
+least AS (SELECT a, min(b) AS m FROM reached GROUP BY a)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, least(doc_id, coalesce(m, doc_id)) AS component_id, doc_id <= coalesce(m, doc_id) AS kept FROM sets LEFT JOIN least ON doc_id = a
+"""
+
+ORACLE_SQL = {"op3_sharding": SHARDING, "op7_minhash_dedup": NEAR_DUPLICATES}
