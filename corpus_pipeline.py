@@ -23,14 +23,15 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, that with the smallest id; a document that occurs again under its id stays once. Those without an id stay."""
+    """One document of each group of near duplicates, that with the smallest id. Of rows under one id the one with the smallest text stays (then language, source, length). Those without an id stay."""
     work = Workspace(spark)
     gone = work.write(near_duplicates(docs).where("NOT kept").select("doc_id").distinct(), "gone")
-    left = docs.join(small_side(gone), "doc_id", "left_anti")
-    if not docs.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").isEmpty():
-        known = left.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
-        left = known.unionByName(left.where("doc_id IS NULL"))
-    return left.select(*COLUMNS)
+    left = docs.join(small_side(gone), "doc_id", "left_anti").select(*COLUMNS)
+    again = work.write(docs.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id"), "again")
+    if again.isEmpty():
+        return left
+    several = left.join(small_side(again), "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct(*COLUMNS[1:])).alias("row")).select("doc_id", "row.*")
+    return left.join(small_side(again), "doc_id", "left_anti").select(*COLUMNS).unionByName(several)
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
