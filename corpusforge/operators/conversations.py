@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..functions.text import seeded_hash
+from ..runtime import Workspace
 from .ranking import BUCKET_ROWS, hash_digits, numbered
 
 TURN = "struct<`from`:string,value:string,train:boolean>"
@@ -112,8 +113,9 @@ def messages_error(messages: Column) -> Column:
 def batches(df: DataFrame, group: list[str], seed: str | int, keys: list[str], size: int = TURNS, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """df plus batch and slot: rows of a group (a chunk's or a patient's questions) in random order, `size` to a batch.
 
-    Groups of more than `bucket_rows` rows are rare (they are counted first) and are numbered by buckets of their hash; for all others a window over the group does.
+    The rows are written once: groups of more than `bucket_rows` rows are rare (they are counted first) and are numbered by buckets of their hash; for all others a window over the group does.
     """
+    df = Workspace(df.sparkSession).write(df, "items")
     large = df.groupBy(*group).count().where(F.col("count") > bucket_rows)
     most = large.agg(F.max("count")).first()[0]
     if most is None:

@@ -15,6 +15,7 @@ from ..operators import generate as G
 from ..operators import judging as J
 from ..operators import packing, preference, sampling
 from ..operators.blending import blend, union_pools
+from ..runtime import Workspace
 
 #: What is asked where the caller brings nothing of their own: questions on a case, what-if templates with their fillings, and openings for a continuation.
 TREATMENT_QUESTIONS = (
@@ -62,7 +63,7 @@ class Phase:
         if self.generator is None:
             return df.withColumns({name: stub, f"{name}_status": F.lit("ok")})
         system = G.fill(SYSTEMS[phase], kind=T.display_name(kind) if kind is not None else F.lit("the subject")) if phase in SYSTEMS else None
-        return G.call(df, prompt, self.generator, phase, name, system)
+        return Workspace(df.sparkSession).write(G.call(df, prompt, self.generator, phase, name, system), name)  # asked once, however often the replies are read
 
 
 STUB = Phase()

