@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections.abc import Callable
 from functools import lru_cache, reduce
 
 import pandas as pd
@@ -232,6 +233,16 @@ def approximate_tokens(c: Column) -> Column:
     return F.floor(F.length(_text(c)) / 4).cast("int")
 
 
+def tokens_by(count: Callable[[str], int]) -> Callable[[Column], Column]:
+    """A stand-in for `approximate_tokens` by any tokenizer: `count` gives a text's tokens and runs on Arrow batches in the workers, so it must be picklable. A null text has none."""
+
+    @F.pandas_udf("int")
+    def run(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: 0 if t is None else count(t))
+
+    return run
+
+
 def preview(c: Column, most: int = 300) -> Column:
     return F.when(F.length(c) > most, F.concat(F.left(c, F.lit(most)), F.lit("..."))).otherwise(c)
 

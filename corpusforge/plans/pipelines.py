@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -141,10 +142,10 @@ def treatment_reasoning(patients: DataFrame, key: str, note: str, least: int = 1
     return told.where(~T.is_low_quality(answer)).select(F.col(key).alias("patient_id"), "question_ix", "question", answer.alias("answer"), T.key_prefix(F.col(note)).alias("patient_note_key"), "question_type", T.has_thinking(answer).alias("has_thinking"))
 
 
-def continuations(df: DataFrame, id_col: str, text: str, kind: str, seed: str | int = "continue", chunk: int = S.TOKEN_CHUNK, start: int = S.SEED_TOKENS, least: int = S.LEAST_COMPLETION) -> DataFrame:
+def continuations(df: DataFrame, id_col: str, text: str, kind: str, seed: str | int = "continue", chunk: int = S.TOKEN_CHUNK, start: int = S.SEED_TOKENS, least: int = S.LEAST_COMPLETION, count: Callable[[str], int] | None = None) -> DataFrame:
     """(id, ix, instruction, seed, completion, conversations, data_type, kind) of chunks that can be split with a completion of `least` characters."""
-    rows = df.select(id_col, kind, F.posexplode(S.token_chunks(F.col(text), chunk)).alias("ix", "chunk"))
-    split = rows.withColumn("__s", S.seed_completion(F.col("chunk"), start)).where(F.length("__s.completion") >= least)
+    rows = df.select(id_col, kind, F.posexplode(S.token_chunks(F.col(text), chunk, count)).alias("ix", "chunk"))
+    split = rows.withColumn("__s", S.seed_completion(F.col("chunk"), start, count)).where(F.length("__s.completion") >= least)
     told = T.pick(INSTRUCTIONS, seeded_hash(seed, F.col(id_col), F.col("ix")))
     human = F.concat(told, F.lit('\n\n"'), F.col("__s.seed"), F.lit('"'))
     return split.select(id_col, "ix", told.alias("instruction"), "__s.seed", "__s.completion", C.three_turns(C.system_prompt(F.col(kind)), human, F.col("__s.completion")).alias("conversations"), F.lit("continuation").alias("data_type"), kind)
@@ -182,19 +183,19 @@ def correction_preferences(corrections: DataFrame, kind: str, keep: list[str]) -
     return preference.pairs(there, C.value_at(conv, 0, "system"), C.value_at(conv, 1, "human"), C.value_at(conv, 4, "gpt"), T.strip_thinking(C.value_at(conv, 2, "gpt")), "self_correction", keep)
 
 
-def prepare_sft(df: DataFrame, position: str, block: int, most: int | None = None, stratum: str = "cancer_type", seed: str | int = 42) -> tuple[DataFrame, DataFrame]:
+def prepare_sft(df: DataFrame, position: str, block: int, most: int | None = None, stratum: str = "cancer_type", seed: str | int = 42, tokens: Callable[[Column], Column] = T.approximate_tokens) -> tuple[DataFrame, DataFrame]:
     """(rows with text and token span, packing report): quota, removal of empty ends, template, offsets. Rows of wrong format are reported elsewhere and stay."""
     rows = sampling.equal_quota(df, stratum, most, seed, position) if most else df
     rows = rows.where(~C.has_empty_end(F.col("conversations")))
     text = rows.withColumn("text", preference.chat_template(C.to_messages(F.col("conversations"))))
-    return packing.offsets(text, position, T.approximate_tokens(F.col("text"))), packing.report(text, T.approximate_tokens(F.col("text")), block)
+    return packing.offsets(text, position, tokens(F.col("text"))), packing.report(text, tokens(F.col("text")), block)
 
 
-def prepare_dpo(df: DataFrame, key: str, most: int, budget: int, seed: str | int = 3407) -> DataFrame:
+def prepare_dpo(df: DataFrame, key: str, most: int, budget: int, seed: str | int = 3407, tokens: Callable[[Column], Column] = T.approximate_tokens) -> DataFrame:
     """Stratified, checked, rendered and length-filtered pairs."""
     capped = sampling.source_cap(df, "source", most, seed, key)
     good = capped.where(preference.prefix_ok(F.col("chosen"), F.col("rejected")))
-    return preference.within_budget(preference.split_texts(good, [key, "source"]), budget)
+    return preference.within_budget(preference.split_texts(good, [key, "source"]), budget, tokens)
 
 
 def verify(df: DataFrame) -> DataFrame:

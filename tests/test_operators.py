@@ -3,6 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from corpusforge.functions import text as T
 from corpusforge.operators import audit, blending, cleaning, judging, multimodal, packing, preference, resume, sampling
 from corpusforge.operators import conversations as C
 from corpusforge.operators import generate as G
@@ -248,3 +249,6 @@ def test_token_counter_can_be_given(spark):
     text = "One two three four five six seven eight nine ten. " * 8
     df = spark.createDataFrame([(text,)], "t string").select(S.token_chunks(F.col("t"), 20, lambda s: len(s.split())).alias("c"))
     assert [len(c.split()) for c in df.first().c] == [20, 20, 20, 20]
+    by_words = T.tokens_by(lambda s: len(s.split()))
+    rows = spark.createDataFrame([("a b", "c " * 5, "d"), ("a b", "c", "d " * 9)], "prompt string, chosen string, rejected string")
+    assert preference.within_budget(rows, 7, by_words).count() == 1 and spark.createDataFrame([(None,)], "t string").select(by_words("t")).first()[0] == 0
