@@ -68,7 +68,8 @@ def toxicity_lexicon(spark: SparkSession, sf_dir: str, docs: DataFrame):
 def op5_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .media import store_texts
 
-    return store_texts(table(spark, sf_dir, "documents").select("doc_id", "text"), with_media=False, keep=["doc_id"])
+    stored = store_texts(table(spark, sf_dir, "documents").select("doc_id", "text"), with_media=False, keep=["doc_id"])
+    return stored.withColumn("keyframes", F.array_join(F.transform("keyframes", lambda k: F.concat_ws("+", k["offset"].cast("string"), k["length"].cast("string"))), ","))
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
