@@ -570,11 +570,11 @@ def choice_per_row(spark: SparkSession, sf: str) -> DataFrame:
     return load(spark, sf, "documents").select("doc_id", pick(C.PUSHBACKS, seeded_hash("row", F.col("doc_id"))).alias("choice"))
 
 
-@query(f"SELECT doc_id, [{O.stub_question(0, '1').replace('chunk', 'text')}, {O.stub_question(0, '2').replace('chunk', 'text')}] AS questions, 'extrapolated' AS verdict, 'http://x/v1/chat/completions' AS url FROM documents")
+@query(f"SELECT doc_id, {O.stub_question(0, '1').replace('chunk', 'text')} || '|' || {O.stub_question(0, '2').replace('chunk', 'text')} AS questions, 'extrapolated' AS verdict, 'http://x/v1/chat/completions' AS url FROM documents")
 def parse_model_replies(spark: SparkSession, sf: str) -> DataFrame:
     docs = load(spark, sf, "documents")
     reply: Column = F.concat(F.lit("```json\n"), G.stub_questions(F.col("text"), 2), F.lit("\n```"))
-    return docs.select("doc_id", T.parse_questions(reply, 2, 15).alias("questions"), T.parse_verdict(F.lit("so VERDICT: EXTRAPOLATED")).alias("verdict"), T.chat_url(F.lit("http://x/v1/")).alias("url"))
+    return docs.select("doc_id", F.array_join(T.parse_questions(reply, 2, 15), "|").alias("questions"), T.parse_verdict(F.lit("so VERDICT: EXTRAPOLATED")).alias("verdict"), T.chat_url(F.lit("http://x/v1/")).alias("url"))
 
 
 def entry(spark: SparkSession, sf: str) -> DataFrame:
