@@ -77,13 +77,13 @@ def normalised(df: DataFrame, title: str, abstract: str, category: str | None, i
     return texts.mapInArrow(run, schema)
 
 
-def annotate(df: DataFrame, title: str = "title", abstract: str = "abstract", category: str | None = "category", index: str = "idx", entities: bool = True) -> DataFrame:
+def annotate(df: DataFrame, title: str = "title", abstract: str = "abstract", category: str | None = "category", index: str = "idx", entities: bool = True, work: Workspace | None = None) -> DataFrame:
     """(idx, title, abstract, cancer_type, drop_reason): normalised records with the reason why each goes, null for those that stay.
 
     Of records with one fingerprint that pass all rules, the one with the smallest `index` (unique) stays. The normalised records are written once; of them only fingerprints are shuffled, and the
-    indexes of later copies come back by a broadcast if they are few, so no text is shuffled.
+    indexes of later copies come back by a broadcast if they are few, so no text is shuffled. The tables are in `work`, if given, which the caller closes once the result is used.
     """
-    work = Workspace(df.sparkSession)
+    work = work or Workspace(df.sparkSession)
     ruled = work.write(normalised(df, title, abstract, category, index, entities), "normalised")
     passed = ruled.where("reason IS NULL").select("idx", "fp")
     firsts = work.write(passed.groupBy("fp").agg(F.min("idx").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n"), "firsts")  # a fingerprint with a third of all rows is one row here

@@ -103,6 +103,16 @@ def write_once(spark: SparkSession, sf: str) -> DataFrame:
     return io.write_if_absent(orders.where("o_orderkey < 0"), path)
 
 
+@query("SELECT o_orderkey, o_orderpriority, o_orderstatus FROM orders")
+def dataset_round_trip(spark: SparkSession, sf: str) -> DataFrame:
+    """A dataset saved over an older one and loaded again, checked against its manifest."""
+    path = shared_dir(spark)
+    orders = load(spark, sf, "orders").select("o_orderkey", "o_orderpriority", "o_orderstatus")
+    io.save_dataset(orders.limit(3), path)
+    io.save_dataset(orders, path)
+    return io.load_dataset(spark, path, ["o_orderkey"])
+
+
 @query("""SELECT 'documents' AS source, (SELECT count(*) FROM documents) AS n, 42 AS seed, 'qa,dpo' AS outputs""")
 def manifest_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     """A manifest that replaces an older one, read again."""

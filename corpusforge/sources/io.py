@@ -128,6 +128,24 @@ def write_if_absent(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def save_dataset(df: DataFrame, path: str) -> None:
+    """A finished dataset under a path: Parquet, and a manifest with its rows and columns, which comes last and so marks it complete."""
+    df.write.mode("overwrite").parquet(f"{path}/data")
+    saved = df.sparkSession.read.parquet(f"{path}/data")
+    write_manifest(df.sparkSession, f"{path}/manifest.json", {"rows": saved.count(), "columns": [list(c) for c in saved.dtypes]})
+
+
+def load_dataset(spark: SparkSession, path: str, needed: Sequence[str] = ()) -> DataFrame:
+    """What `save_dataset` saved; MissingSource if it is incomplete, has other rows than it says, or lacks a needed column."""
+    said = read_manifest(spark, f"{path}/manifest.json")
+    if said is None:
+        raise MissingSource(f"{path} has no complete dataset")
+    df = require_columns(spark.read.parquet(f"{path}/data"), needed)
+    if [list(c) for c in df.dtypes] != said["columns"] or df.count() != said["rows"]:
+        raise MissingSource(f"{path} isn't what its manifest says")
+    return df
+
+
 def count_lines(spark: SparkSession, path: str, containing: str | None = None) -> int:
     lines = spark.read.text(path)
     return lines.where(F.contains("value", F.lit(containing)) if containing else F.trim("value") != "").count()

@@ -13,6 +13,7 @@ from pyspark.sql.types import StructType
 
 from ..functions import text as T
 from ..operators.cleaning import annotate, clean_records
+from ..runtime import Workspace
 from ..sources.io import exists
 
 
@@ -20,7 +21,8 @@ def clean_stream(spark: SparkSession, source: str, schema: StructType | str, tar
     """Start an available-now query from `source` to `target` (clean records by batch) with its fingerprints in `target`_seen."""
 
     def batch(rows: DataFrame, number: int) -> None:
-        clean = clean_records(annotate(rows, title, abstract, category, index)).withColumn("fp", T.fingerprint(F.col("abstract")))
+        work = Workspace(spark)
+        clean = clean_records(annotate(rows, title, abstract, category, index, work=work)).withColumn("fp", T.fingerprint(F.col("abstract")))
         if exists(spark, f"{target}_seen"):
             seen = spark.read.parquet(f"{target}_seen").where(F.col("batch") != number)
             clean = clean.join(seen.select("fp").distinct(), "fp", "left_anti")
@@ -30,6 +32,7 @@ def clean_stream(spark: SparkSession, source: str, schema: StructType | str, tar
                 df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(path)
         finally:
             kept.unpersist()
+            work.close()  # a stream may run for long: nothing of a batch stays
 
     reader = spark.readStream.format(form).schema(schema)
     if files:

@@ -252,3 +252,24 @@ def test_token_counter_can_be_given(spark):
     by_words = T.tokens_by(lambda s: len(s.split()))
     rows = spark.createDataFrame([("a b", "c " * 5, "d"), ("a b", "c", "d " * 9)], "prompt string, chosen string, rejected string")
     assert preference.within_budget(rows, 7, by_words).count() == 1 and spark.createDataFrame([(None,)], "t string").select(by_words("t")).first()[0] == 0
+
+
+def test_datasets_and_manifests(spark, tmp_path):
+    path = f"file://{tmp_path}"
+    df = spark.range(5)
+    io.save_dataset(df, f"{path}/d")
+    assert io.load_dataset(spark, f"{path}/d", ["id"]).count() == 5
+    with pytest.raises(io.MissingSource):
+        io.load_dataset(spark, f"{path}/d", ["other"])
+    df.write.mode("append").parquet(f"{path}/d/data")
+    with pytest.raises(io.MissingSource):
+        io.load_dataset(spark, f"{path}/d")
+    with pytest.raises(io.MissingSource):
+        io.load_dataset(spark, f"{path}/nothing")
+    assert io.read_manifest(spark, f"{path}/none.json") is None
+    io.write_manifest(spark, f"{path}/m.json", {"a": 1})
+    io.write_manifest(spark, f"{path}/m.json", {"a": 2})
+    assert io.read_manifest(spark, f"{path}/m.json") == {"a": 2} and not (tmp_path / "m.json.tmp").exists()
+    (tmp_path / "m.json").write_text("no json")
+    (tmp_path / ".m.json.crc").unlink(missing_ok=True)
+    assert io.read_manifest(spark, f"{path}/m.json") is None
