@@ -6,6 +6,7 @@ import atexit
 import contextlib
 import io
 import os
+import shutil
 import tempfile
 import uuid
 import zipfile
@@ -83,7 +84,9 @@ def clean_up(spark: SparkSession) -> None:
 
 
 def _clean_up_at_exit(spark: SparkSession, top: str) -> None:
-    if spark.sparkContext._jsc is not None and spark.sparkContext._gateway is not None:  # else the session was stopped before
+    if top.startswith("file://"):  # the driver sees the folder itself, whether or not the session still runs
+        shutil.rmtree(top.removeprefix("file://"), ignore_errors=True)
+    elif spark.sparkContext._jsc is not None:
         with contextlib.suppress(Exception):  # the JVM may be gone: nothing is lost but space
             drop_dir(spark, top)
 
