@@ -74,7 +74,9 @@ def shared_dir(spark: SparkSession) -> str:
     top = application_dir(spark)
     if top not in _MADE:
         _MADE.add(top)
-        atexit.register(_clean_up_at_exit, spark, top)
+        place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(top)
+        local = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getScheme() == "file"
+        atexit.register(_clean_up_at_exit, spark, top, place.toUri().getPath() if local else None)
     return f"{top}/{uuid.uuid4().hex}"
 
 
@@ -83,9 +85,9 @@ def clean_up(spark: SparkSession) -> None:
     drop_dir(spark, application_dir(spark))
 
 
-def _clean_up_at_exit(spark: SparkSession, top: str) -> None:
-    if top.startswith("file://"):  # the driver sees the folder itself, whether or not the session still runs
-        shutil.rmtree(top.removeprefix("file://"), ignore_errors=True)
+def _clean_up_at_exit(spark: SparkSession, top: str, local: str | None) -> None:
+    if local is not None:  # the driver sees the folder itself, whether or not the session still runs
+        shutil.rmtree(local, ignore_errors=True)
     elif spark.sparkContext._jsc is not None:
         with contextlib.suppress(Exception):  # the JVM may be gone: nothing is lost but space
             drop_dir(spark, top)
