@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import seeded_hash
+from ..runtime import Workspace, small_side
 
 #: Rows that one bucket should hold at most; ranges of a position that are told apart by quantiles, each of which is cut further into equal widths.
 BUCKET_ROWS, RANGES = 100_000, 256
@@ -97,6 +98,13 @@ def position_rank(df: DataFrame, group: list[str], position: str, name: str = "r
 
 
 def first_per_key(df: DataFrame, key: Column, order: str) -> DataFrame:
-    """The rows that come first for their key. The winners are found by a map-side minimum and joined by `order`, which must be unique: a key with a third of all rows is one row of the join."""
-    winners = df.groupBy(key.alias("__k")).agg(F.min(order).alias(order)).select(order)
-    return df.join(winners, order, "left_semi")
+    """The rows that come first for their key by `order`, which must be unique; a null key is a key.
+
+    Keys and orders are written once. A key with a third of all rows is one row of the table of firsts; the orders of later rows come back by a broadcast if they are few, so the rows themselves aren't shuffled.
+    """
+    work = Workspace(df.sparkSession)
+    keyed = work.write(df.select(key.alias("__k"), F.col(order)), "keys")
+    firsts = work.write(keyed.groupBy("__k").agg(F.min(order).alias("__first"), F.count("*").alias("n")).where("n > 1").drop("n"), "firsts")
+    there = small_side(firsts.withColumnRenamed("__k", "__key"))
+    later = work.write(keyed.join(there, F.col("__k").eqNullSafe(F.col("__key"))).where(F.col(order) > F.col("__first")).select(order), "later")
+    return df.join(small_side(later), order, "left_anti")
