@@ -273,3 +273,20 @@ def test_datasets_and_manifests(spark, tmp_path):
     (tmp_path / "m.json").write_text("no json")
     (tmp_path / ".m.json.crc").unlink(missing_ok=True)
     assert io.read_manifest(spark, f"{path}/m.json") is None
+
+
+def test_a_cluster_needs_a_shared_folder(spark):
+    from types import SimpleNamespace
+
+    from corpusforge import runtime
+
+    conf = SimpleNamespace(get=lambda *_: None)
+    far = SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(getConf=lambda: conf, master="spark://host:7077", applicationId="a"))
+    with pytest.raises(RuntimeError):
+        runtime.application_dir(far)
+    work = runtime.Workspace(spark)
+    table = work.write(spark.range(3), "t")
+    assert table.count() == 3 and runtime.application_dir(spark) in work.root
+    work.close()
+    with pytest.raises(Exception):
+        spark.read.parquet(f"{work.root}/t")
