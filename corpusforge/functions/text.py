@@ -5,7 +5,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Callable
-from functools import lru_cache, reduce
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column
@@ -101,8 +101,16 @@ def is_retracted(title: Column, abstract: Column) -> Column:
 
 
 def contains_any(c: Column, phrases: tuple[str, ...]) -> Column:
-    """Whether the text holds one of the phrases: one test after the other, in generated code."""
-    return reduce(lambda a, b: a | b, [F.contains(c, F.lit(p)) for p in phrases])
+    """Whether the text holds one of the phrases. One pattern, so that what makes the text is computed once wherever the condition is pushed to."""
+    return c.rlike(any_of(phrases))
+
+
+def any_of(phrases: tuple[str, ...]) -> str:
+    """A pattern that finds any of the phrases as they stand, grouped by their first character so that a place is left at once where none can start."""
+    by_start: dict[str, list[str]] = {}
+    for p in dict.fromkeys(phrases):
+        by_start.setdefault(p[0], []).append(re.escape(p[1:]))
+    return "(?:" + "|".join(f"{re.escape(a)}(?:{'|'.join(rest)})" for a, rest in by_start.items()) + ")"
 
 
 @lru_cache(maxsize=1)
@@ -113,8 +121,8 @@ def _plain_rules() -> dict:
     letters = bytes(b for b in range(128) if not chr(b).isalpha())
     kept = bytes(b for b in range(128) if not (chr(b).isdigit() or "a" <= chr(b) <= "z" or chr(b) in BLANK_CHARS))
     return {
-        "table": str.maketrans(REPLACED | dict.fromkeys(DROPPED)), "blanks": re.compile(r"[ \t]+"), "lines": re.compile(r"\n{3,}"), "not_letters": letters, "not_kept": kept, "retraction": regex.compile(RETRACTION),
-        "letters": regex.compile(r"[^\p{L}]+"), "latin": re.compile("[^\u0000-\u024f]+"), "dropped": re.compile(f"[^a-z0-9{re.escape(BLANK_CHARS)}]+"),
+        "table": str.maketrans(REPLACED | dict.fromkeys(DROPPED)), "moved": re.compile(f"[{re.escape(''.join(REPLACED) + ''.join(DROPPED))}]"), "blanks": re.compile(r"[ \t]+"), "lines": re.compile(r"\n{3,}"), "not_letters": letters, "not_kept": kept, "retraction": regex.compile(RETRACTION),
+        "letters": regex.compile(r"[^\p{L}]+"), "latin": re.compile("[^\u0000-\u024f]+"), "others": re.compile("[^\x00-\x7f]+"), "far_blanks": re.compile(f"[{''.join(b for b in BLANK_CHARS if not b.isascii())}]"), "dropped": re.compile(f"[^a-z0-9{re.escape(BLANK_CHARS)}]+"),
     }
 
 
@@ -127,7 +135,10 @@ def normalize_text(text: str | None, entities: bool = True) -> str:
     if entities and "&" in text:
         text = html.unescape(text)
     if not text.isascii():
-        text = (unicodedata.normalize("NFC", text) if entities else text).translate(rules["table"])
+        if entities and not unicodedata.is_normalized("NFC", text):
+            text = unicodedata.normalize("NFC", text)
+        if rules["moved"].search(text):
+            text = text.translate(rules["table"])
     if "  " in text or "\t" in text:
         text = rules["blanks"].sub(" ", text)
     return (rules["lines"].sub("\n\n", text) if "\n\n\n" in text else text).strip(BLANK_CHARS)
@@ -136,10 +147,12 @@ def normalize_text(text: str | None, entities: bool = True) -> str:
 def is_english_text(text: str) -> bool:
     """`is_english` for one text in Python."""
     rules = _plain_rules()
+    plain = len(text.encode("ascii", "ignore").translate(None, rules["not_letters"]))
     if text.isascii():
-        return len(text.encode().translate(None, rules["not_letters"])) >= 20
-    letters = rules["letters"].sub("", text)
-    return len(letters) >= 20 and len(rules["latin"].sub("", letters)) / len(letters) > 0.85
+        return plain >= 20
+    others = rules["letters"].sub("", "".join(rules["others"].findall(text)))
+    n = plain + len(others)
+    return n >= 20 and (plain + len(rules["latin"].sub("", others))) / n > 0.85
 
 
 def is_retracted_text(title: str, abstract: str) -> bool:
@@ -151,13 +164,16 @@ def is_retracted_text(title: str, abstract: str) -> bool:
 def fingerprint_text(text: str) -> str:
     """`fingerprint` for one text in Python."""
     rules, low = _plain_rules(), text.lower()
-    bare = low.encode().translate(None, rules["not_kept"]).decode() if low.isascii() else rules["dropped"].sub("", low)
+    if rules["far_blanks"].search(low):
+        bare = rules["dropped"].sub("", low)
+    else:  # of all other characters only ASCII ones stay
+        bare = low.encode("ascii", "ignore").translate(None, rules["not_kept"]).decode()
     return hashlib.sha256(" ".join(bare.split()).encode()).hexdigest()[:16]
 
 
 def is_low_quality(c: Column) -> Column:
-    stripped = strip(_text(c))
-    return (F.length(stripped) < 50) | contains_any(F.lower(stripped), AI_SPEAK)
+    """Fewer than 50 characters, or a phrase of assistants in any case."""
+    return ~strip(_text(c)).rlike(rf"(?is)\A(?=.{{50}})(?!.*{any_of(AI_SPEAK)})")
 
 
 def has_thinking(c: Column) -> Column:
