@@ -13,6 +13,7 @@ from ..functions.text import pick, seeded_hash
 from ..operators import audit, blending, cleaning, judging, multimodal, packing, preference, resume, sampling, tools
 from ..operators import conversations as C
 from ..operators import generate as G
+from ..runtime import spread
 from . import oracle as O
 from . import pipelines as P
 
@@ -40,11 +41,11 @@ def load(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 def annotated(spark: SparkSession, sf: str) -> DataFrame:
     docs = load(spark, sf, "documents").select("doc_id", F.left("text", F.lit(80)).alias("title"), F.col("text").alias("abstract"), "source")
-    return cleaning.annotate(docs, category="source", index="doc_id")
+    return cleaning.annotate(spread(docs), category="source", index="doc_id")
 
 
 def chunk_rows_of(spark: SparkSession, sf: str) -> DataFrame:
-    return P.chunk_table(load(spark, sf, "documents"), "doc_id", "text", "source")
+    return P.chunk_table(spread(load(spark, sf, "documents").select("doc_id", "text", "source")), "doc_id", "text", "source")
 
 
 def conversations_of(spark: SparkSession, sf: str) -> DataFrame:

@@ -99,6 +99,15 @@ def drop_dir(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A table as it is read, dealt to all cores if it comes in fewer partitions than there are: a small table is often one row group, which one core would work through alone.
+
+    A large one comes in more partitions than cores and is left as it is. Give it scans only: to count partitions behind a shuffle would run it.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 #: Rows of ids that a broadcast may have: some tens of MB.
 BROADCAST_ROWS = 1_000_000
 
