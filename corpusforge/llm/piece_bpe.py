@@ -23,7 +23,7 @@ from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, Stru
 from .arrow import append, pieces, texts_of
 
 BLANK = "▁"
-CACHE_ENTRIES, CACHE_CHARS, PAIR_ENTRIES = 250_000, 48, 1_000_000
+CACHE_ENTRIES, CACHE_CHARS, PAIR_ENTRIES = 180_000, 48, 500_000
 
 
 class UnsupportedModel(ValueError):
