@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..runtime import Workspace, ship_package, small_side
+from ..runtime import BROADCAST_ROWS, Workspace, ship_package, small_side
 from .wordhash import mix, separators, shingle_hashes, stretches, text_buffer, word_hashes
 
 #: 51 bands of 5 rows: a pair at similarity 0.75 shares no band with probability 1e-6.
@@ -29,6 +29,8 @@ SHINGLE, BANDS, ROWS = 5, 51, 5
 THRESHOLD = 75  # percent
 #: Texts in one side of a block; a round of further centres pays while one in so many of its edges is a link; shingles in one side of a group that is counted at once.
 BLOCK, PAYS, GROUP_SHINGLES = 1_024, 20, 2_000_000
+#: Rows (two or three numbers each) of candidates that a join with the sets may broadcast; with more the join is shuffled, sets and all.
+FEW_EDGES = 250_000
 #: Standard deviations that a signature's estimate may lie below the threshold.
 SLACK = 6.0
 _ALL = (1 << 64) - 1
@@ -146,12 +148,12 @@ def components(work: Workspace, edges: DataFrame, name: str) -> DataFrame:
 
 
 def _confirmed(edges: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
-    """The candidate edges (a: member, b: centre) whose sets reach the similarity. A member's set is sent once for each of its edges, a centre's once to each task; both joins can be split where a node has very many edges."""
+    """The candidate edges (a: member, b: centre) whose sets reach the similarity. A member's set is sent once for each of its edges, a centre's once to each task; both joins can be split where a node has very many edges. Few edges are broadcast, and members' sets are then sent once less."""
     left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("x"))
     right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("y"))
     shared = F.size(F.array_intersect("x", "y"))
     return (
-        edges.join(left, "a").join(right, "b")
+        left.join(small_side(edges, FEW_EDGES), "a").join(right, "b")
         .withColumn("shared", shared)
         .where(F.col("shared") * 100 >= (F.size("x") + F.size("y") - F.col("shared")) * threshold)
         .select("a", "b")
@@ -287,7 +289,7 @@ def _finish(work: Workspace, pool: DataFrame, sets: DataFrame, threshold: int, b
         pairs = linked_pairs(held, table.column("component").to_numpy(), threshold)
         return pa.table({"a": pa.array([int(cls[i]) for i, _ in pairs], pa.int64()), "b": pa.array([int(cls[j]) for _, j in pairs], pa.int64())})
 
-    return groups.join(sets.select(F.col("id").alias("cls"), "shingles"), "cls").groupBy("gid").applyInArrow(count, "a long, b long")
+    return sets.select(F.col("id").alias("cls"), "shingles").join(small_side(groups, FEW_EDGES), "cls").groupBy("gid").applyInArrow(count, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = THRESHOLD, size: int = SHINGLE, bands: int = BANDS, rows: int = ROWS, block: int = BLOCK) -> DataFrame:
@@ -308,7 +310,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # what a join needs by key is written first: then both sides are dealt anew and a key with very many rows can be split
     copied = work.write(usable.groupBy("set_a", "set_b").agg(F.min("id").alias("cls"), F.count("*").alias("n")).where("n > 1").drop("n"), "classes")
     member = work.write(usable.select("id", "set_a", "set_b").join(copied, ["set_a", "set_b"], "left").select("id", F.coalesce("cls", "id").alias("cls")), "members")
-    leaders = usable.join(member.where("id <> cls").select("id"), "id", "left_anti").select(F.col("id").alias("cls"), "n_shingles", F.col("bands"))
+    copies = work.write(member.where("id <> cls").select("id"), "copies")
+    leaders = usable.join(small_side(copies, BROADCAST_ROWS), "id", "left_anti").select(F.col("id").alias("cls"), "n_shingles", F.col("bands"))
+    if copies.count() > BROADCAST_ROWS:
+        leaders = work.write(leaders, "leaders")  # read twice: once shuffled is enough
 
     listed = leaders.select("cls", "n_shingles", F.explode("bands").alias("bucket"))
     crowded = work.write(listed.groupBy("bucket").agg(F.count("*").alias("crowd")).where("crowd > 1"), "crowded")
@@ -322,7 +327,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     if repeats:
         sets = sets.join(usable.select("id", "set_a", "set_b"), ["id", "set_a", "set_b"], "left_semi").dropDuplicates(["id"])
     sets = work.write(sets, "sets")
-    work.drop("buckets", "crowded", "classes", "pull")
+    work.drop("buckets", "crowded", "classes", "copies", "leaders", "pull")
 
     links: DataFrame | None = None
     labels: DataFrame | None = None

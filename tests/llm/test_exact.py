@@ -237,6 +237,21 @@ def test_near_duplicates(corpus):
     assert len(set(expected.values())) < len(expected)
 
 
+def test_few_edges_send_sets_once(spark, corpus, monkeypatch):
+    """Few candidates are broadcast to their sets; many are shuffled, with the same result."""
+    edges, sets = spark.createDataFrame([(2, 1)], "a long, b long"), neardup.full_sets(corpus, "doc_id", "text")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = neardup._confirmed(edges, sets, 75)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange hashpartitioning") == 2  # both sides of the join with centres
+    monkeypatch.setattr(neardup, "FEW_EDGES", 0)
+    monkeypatch.setattr(neardup, "BROADCAST_ROWS", 0)
+    expected = plain_components(plain_sets([(r.doc_id, r.text) for r in corpus.collect()]))
+    assert {r.doc_id: r.component_id for r in neardup.near_duplicates(corpus).collect()} == expected
+
+
 def test_near_duplicate_corners(odd):
     got = {(r.doc_id, r.n_shingles): (r.component_id, r.kept) for r in neardup.near_duplicates(odd).collect()}
     assert got[0, 0] == (0, True) and got[1, 0] == (1, True) and got[2, 0] == (2, True)

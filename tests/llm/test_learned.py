@@ -9,6 +9,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+from py4j.java_gateway import get_field
 from pyspark.sql import functions as F
 
 from corpusforge.llm import decontam, licenses, lm, queries, secrets, toxicity
@@ -234,6 +235,17 @@ def test_scan(spark, odd):
     assert not re.search("Python|Pandas|Arrow", out._jdf.queryExecution().executedPlan().toString())
 
 
+def test_scan_leaves_no_parser_caches(spark):
+    """Some 7,000 states (60 MB of the driver) stayed in the parser after the forest's expression."""
+    parser = spark._jvm.org.apache.spark.sql.catalyst.parser.SqlBaseParser(None)
+    parser.getInterpreter().clearDFA()
+    before = spark.conf.get("spark.sql.parser.manageParserCaches")
+    docs = spark.createDataFrame([(1, 'token = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff" ok')], "doc_id long, text string")
+    assert secrets.scan_secrets(docs, secrets.default_forest(spark)).first().n_secrets == 1
+    caches = get_field(spark._jvm.org.apache.spark.sql.catalyst.parser.SqlBaseParser(None).getInterpreter(), "decisionToDFA")
+    assert sum(get_field(c, "states").size() for c in caches) < 1000 and spark.conf.get("spark.sql.parser.manageParserCaches") == before
+
+
 def test_features_are_those_of_plain_code(spark):
     rows = secrets.labelled_findings(spark, 400)
     sql = secrets._features("candidate", "before", "after", "path")
