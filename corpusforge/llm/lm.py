@@ -7,8 +7,13 @@ so that untrained weights give exactly the add-one unigram model and gradient up
 share of the counts. Events are the training words and one for all unknown words; the probabilities sum to one.
 
 Training: each partition takes gradient steps on its own texts from the same start, and the weights are averaged, row by row by how often the row was
-seen, in a tree of bounded groups. So the weights (not the base score) hang a little on how rows lie in partitions. Rows of weights grow with the training tokens up to MOST_FEATURES. Counts are shuffled, never broadcast: only a head
+seen, in a tree of bounded groups. So the weights (not the base score) hang a little on how rows lie in partitions. Counts are shuffled, never broadcast: only a head
 of HEAD frequent words is known to every task, and the counts of all other words, which share one class, are joined to the texts.
+
+Rows of weights grow with the tokens without a bound: up to MOST_FEATURES a factor are known to every task; a corpus of more than SHARD_TOKENS has as many shards
+of that many rows as it has SHARD_TOKENS. A shard holds the contexts of its own last words (of a very frequent last word: of its own last three words). All positions go to the shard
+of their context, packed; one task starts from the averaged weights, takes gradient steps on the shard's training positions, scores all its positions and
+sends their sums back to the texts. No task and no driver ever holds the weights of two shards.
 """
 
 from __future__ import annotations
@@ -18,15 +23,19 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..runtime import Workspace, ship_package
 from .wordhash import mix, separators, stretches, text_buffer, word_hashes
 
-#: Hashed feature rows of each factor: one for so many training tokens, rounded up to a power of two, between a least and a most (2**16 or less, so that sorting them is a radix sort). Clusters of words; classes and subclasses of the head (with one more class for the tail); head words at most; gradient rounds.
+#: Hashed feature rows of each factor of a shard: one for so many training tokens, rounded up to a power of two, between a least and a most (2**16 or less, so that sorting them is a radix sort). Clusters of words; classes and subclasses of the head (with one more class for the tail); head words at most; gradient rounds.
 TOKENS_PER_FEATURE, LEAST_FEATURES, MOST_FEATURES = 256, 1 << 12, 1 << 15
 CLUSTERS, CLASSES, SUBCLASSES, HEAD, ROUNDS = 4, 16, 16, 1 << 18, 2
+#: Tokens that a shard's rows are meant for; positions that are packed together; tasks at most for all shards (a task takes several shards one after another).
+SHARD_TOKENS, BLOCK_TOKENS, SHARD_TASKS = TOKENS_PER_FEATURE * MOST_FEATURES, 1 << 20, 8_192
 #: Groups of texts that share a most frequent word; they tell clusters of words apart.
 GROUPS = 8
 BATCH, RATE, FAN_IN, BLOCK_ROWS = 16_384, 0.25, 16, 2_048
@@ -127,15 +136,20 @@ class Model:
 
 
 def feature_rows(total: int) -> int:
-    """Rows of weights for so many training tokens."""
+    """Rows of weights of a shard for so many training tokens."""
     rows = LEAST_FEATURES
     while rows < min(MOST_FEATURES, total / TOKENS_PER_FEATURE):
         rows *= 2
     return rows
 
 
-def features(tokens: np.ndarray, first: np.ndarray, size: int) -> np.ndarray:
-    """The hashed features (below `size`) of each position, one row each; what stands before a text's start counts as END."""
+def shard_count(total: int, share: float = 1.0, shard_tokens: int = SHARD_TOKENS) -> int:
+    """Shards for so many training tokens, which are `share` of all tokens: one if a shard's rows are enough for them, else one for every `shard_tokens` of all tokens."""
+    return 1 if total <= shard_tokens else int(-(-total // (shard_tokens * min(1.0, max(share, 1e-9)))))
+
+
+def _before(tokens: np.ndarray, first: np.ndarray) -> list[np.ndarray]:
+    """The last word, the one before it, and the third last of each position; what stands before a text's start counts as END."""
     n = len(tokens)
     before = []
     for k in (1, 2, 3):
@@ -145,6 +159,15 @@ def features(tokens: np.ndarray, first: np.ndarray, size: int) -> np.ndarray:
             starts = first[:-1] + j
             shifted[starts[starts < first[1:]]] = END
         before.append(shifted)
+    return before
+
+
+def features(tokens: np.ndarray, first: np.ndarray, size: int) -> np.ndarray:
+    """The hashed features (below `size`) of each position, one row each."""
+    return _hashed(_before(tokens, first), size)
+
+
+def _hashed(before: list[np.ndarray], size: int) -> np.ndarray:
     one, two, three = before
     hashed = [mix(one + np.uint64(1)), mix(two + np.uint64(2)), mix(three + np.uint64(3)), mix(mix(one) * np.uint64(3) + two)]
     return np.stack([(h >> np.uint64(40)) & np.uint64(size - 1) for h in hashed]).astype(np.uint16)
@@ -188,6 +211,34 @@ def update(weights: np.ndarray, squares: np.ndarray, seen: np.ndarray, bias: np.
     weights[touched] += (RATE / np.sqrt(squares[touched] * size + 1e-6))[:, None] * summed
 
 
+def _learn(weights: list[np.ndarray], squares: list[np.ndarray], seen: list[np.ndarray], biases: tuple[np.ndarray, np.ndarray], rows: np.ndarray, classes: np.ndarray, subclasses: np.ndarray) -> None:
+    """Steps of both factors on all positions, a batch at a time."""
+    (size, tail), (outer, inner) = (len(weights[0]), weights[0].shape[1] - 1), biases
+    for a in range(0, len(classes), BATCH):
+        some, c, sub = rows[:, a : a + BATCH], classes[a : a + BATCH], subclasses[a : a + BATCH]
+        update(weights[0], squares[0], seen[0], outer, some, c)
+        if (c == tail).any():
+            head = np.flatnonzero(c != tail)
+            some, c, sub = some[:, head], c[head], sub[head]
+        update(weights[1], squares[1], seen[1], inner[c], np.ascontiguousarray(within(some, c, size)), sub)
+
+
+def _log_probabilities(weights: tuple[np.ndarray, np.ndarray], biases: tuple[np.ndarray, np.ndarray], rows: np.ndarray, classes: np.ndarray, subclasses: np.ndarray) -> np.ndarray:
+    """log10 of the probability of each position's class and subclass."""
+    (size, tail), (outer, inner) = (len(weights[0]), weights[0].shape[1] - 1), biases
+    logs = np.empty(len(classes))
+    for s in range(0, len(classes), BATCH):
+        some, c = rows[:, s : s + BATCH], classes[s : s + BATCH]
+        p = _probabilities(weights[0], outer, some)
+        chosen = p[np.arange(len(c)), c]
+        head = np.flatnonzero(c != tail)
+        if len(head):
+            q = _probabilities(weights[1], inner[c[head]], within(some[:, head], c[head], size))
+            chosen[head] *= q[np.arange(len(head)), subclasses[s + head]]
+        logs[s : s + BATCH] = np.log10(np.maximum(chosen, 1e-30))
+    return logs
+
+
 def train(texts: DataFrame, text_col: str, model: Model, rounds: int = ROUNDS, pick: Column | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Weights after `rounds` rounds, each over its own share of the texts: gradient steps in every partition, then the average."""
     spark = texts.sparkSession
@@ -200,18 +251,12 @@ def train(texts: DataFrame, text_col: str, model: Model, rounds: int = ROUNDS, p
             known, start = shared.value
             local = [w.copy() for w in start]
             squares, seen = ([np.zeros(size, np.float32) for _ in range(2)] for _ in range(2))
-            (bias, inner), used, tail, slots = known.biases(), False, len(known.mass), known.slots()
+            biases, used, slots = known.biases(), False, known.slots()
             for batch in batches:
                 for _, _, tokens, first in _token_rows(batch.column(0)):
                     used = True
-                    rows, (_, classes, subclasses) = features(tokens, first, size), known.lookup(tokens, slots)
-                    for a in range(0, len(tokens), BATCH):
-                        some, c, sub = rows[:, a : a + BATCH], classes[a : a + BATCH], subclasses[a : a + BATCH]
-                        update(local[0], squares[0], seen[0], bias, some, c)
-                        if (c == tail).any():
-                            head = np.flatnonzero(c != tail)
-                            some, c, sub = some[:, head], c[head], sub[head]
-                        update(local[1], squares[1], seen[1], inner[c], np.ascontiguousarray(within(some, c, size)), sub)
+                    _, classes, subclasses = known.lookup(tokens, slots)
+                    _learn(local, squares, seen, biases, features(tokens, first, size), classes, subclasses)
             if used:
                 for level in range(2):
                     local[level] *= seen[level][:, None]  # sums, to be divided by how often each row was seen
@@ -311,7 +356,91 @@ def fit(texts: DataFrame, text_col: str, counts: DataFrame, pick: Column | None,
     return model
 
 
-def score_texts(df: DataFrame, training: Column, id_col: str = "doc_id", text_col: str = "text", head: int = HEAD, rounds: int = ROUNDS) -> DataFrame:
+def _shard_of(known: Model, before: list[np.ndarray], place: np.ndarray, first: np.ndarray, end_place: int, shards: int) -> np.ndarray:
+    """The shard of each position's context: by its last word, or by its last three where the last is so frequent that it would fill half a shard."""
+    one, two, three = before
+    key = mix(one + np.uint64(5))
+    # where no word of the head is so frequent, none is: the head has the most frequent ones
+    frequent = np.append(known.counts > known.total / (2 * shards), False)  # the last place stands for -1
+    if frequent.any():
+        last = np.empty(len(place), bool)
+        last[1:] = frequent[place[:-1]]
+        starts = first[:-1]
+        last[starts[starts < len(place)]] = frequent[end_place]
+        key = np.where(last, mix(mix(key + two) * np.uint64(3) + three), key)
+    return ((key >> np.uint64(32)) % np.uint64(shards)).astype(np.uint16 if shards <= 1 << 16 else np.uint32)
+
+
+def _pack(arrays: list[np.ndarray]) -> bytes:
+    """Numbers of two bytes and more are stored byte by byte in planes, which compress better."""
+    planes = [x.tobytes() if x.itemsize == 1 else np.ascontiguousarray(x.reshape(-1, 1).view(np.uint8).T).tobytes() for x in arrays]
+    return pa.Codec("zstd", compression_level=1).compress(b"".join(planes), asbytes=True)
+
+
+def _unpack(data: bytes, kinds: list[tuple[type, int]]) -> list[np.ndarray]:
+    """Arrays of these types and lengths."""
+    sizes = [np.dtype(kind).itemsize * n for kind, n in kinds]
+    raw = np.frombuffer(pa.Codec("zstd").decompress(data, sum(sizes), asbytes=True), np.uint8)
+    out, at = [], 0
+    for (kind, n), size in zip(kinds, sizes, strict=True):
+        plane = raw[at : at + size]
+        out.append(np.ascontiguousarray(plane.reshape(-1, n).T).reshape(-1).view(kind) if n else np.empty(0, kind))
+        at += size
+    return out
+
+
+def _pack_block(held: list[tuple], shards: int) -> Iterator[tuple[int, int, int, bytes]]:
+    """(shard, positions, runs of positions of one text, packed) of each shard that has positions in a block of texts."""
+    rows, classes, subclasses, shard, text, learn = (np.concatenate(x, axis=-1) for x in zip(*held, strict=True))
+    order = np.argsort(shard, kind="stable")  # a shard's positions stay in the order of the texts
+    edges = np.searchsorted(shard[order], np.arange(shards + 1))
+    for s in np.flatnonzero(np.diff(edges)).tolist():
+        own = order[edges[s] : edges[s + 1]]
+        of = text[own]
+        lead = np.flatnonzero(np.append(True, of[1:] != of[:-1]))
+        sizes = np.diff(np.append(lead, len(of))).astype(np.uint32)
+        yield s, len(own), len(lead), _pack([*rows[:, own], classes[own], subclasses[own], np.diff(of[lead], prepend=np.uint32(0)), sizes, learn[own[lead]]])
+
+
+def _unpack_block(n: int, runs: int, data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(features, classes, subclasses, texts of the runs, their sizes, whether they are learned from)."""
+    *rows, classes, subclasses, text, sizes, learn = _unpack(data, [(np.uint16, n)] * 4 + [(np.uint8, n)] * 2 + [(np.uint32, runs)] * 2 + [(np.uint8, runs)])
+    return np.stack(rows), classes.astype(np.int64), subclasses.astype(np.int64), np.cumsum(text, dtype=np.uint32), sizes.astype(np.int64), learn.astype(bool)
+
+
+def _shard_sums(known: Model, biases: tuple[np.ndarray, np.ndarray], held: list[tuple[int, int, int, bytes]], learning: bool) -> Iterator[tuple[int, int, bytes]]:
+    """Weights of one shard from its training positions, then (block, runs, packed sums of log10 probabilities by text) of each of its blocks."""
+    weights = [w.copy() for w in known.weights]
+    if learning:
+        squares, seen = ([np.zeros(len(w), np.float32) for w in weights] for _ in range(2))
+        waiting, n = [], 0
+        for k, (_, *packed) in enumerate(held):
+            rows, classes, subclasses, _, sizes, learn = _unpack_block(*packed)
+            at = np.flatnonzero(np.repeat(learn, sizes))
+            waiting.append((rows[:, at], classes[at], subclasses[at]))
+            n += len(at)
+            if n >= BATCH or k == len(held) - 1:  # pieces of many shards are small
+                _learn(weights, squares, seen, biases, *(np.concatenate(x, axis=-1) for x in zip(*waiting, strict=True)))
+                waiting, n = [], 0
+    for block, *packed in held:
+        rows, classes, subclasses, text, sizes, _ = _unpack_block(*packed)
+        logs = _log_probabilities(weights, biases, rows, classes, subclasses)
+        sums = np.add.reduceat(logs, np.cumsum(sizes) - sizes)
+        yield block, len(text), _pack([np.diff(text, prepend=np.uint32(0)), sums.astype(np.float32)])
+
+
+def _text_sums(blocks):
+    """(row, context_log) of each text of a block: the sum of what its shards sent."""
+    import pandas as pd
+
+    blocks = blocks.sort_values("shard")
+    parts = [_unpack(data, [(np.uint32, n), (np.float32, n)]) for n, data in zip(blocks["runs"], blocks["data"], strict=True)]
+    text = np.concatenate([np.cumsum(t, dtype=np.uint32) for t, _ in parts]).astype(np.int64)
+    sums = np.bincount(text, np.concatenate([x for _, x in parts]).astype(np.float64))  # every text has its end
+    return pd.DataFrame({"row": blocks["block"].iloc[0] + np.arange(len(sums)), "context_log": sums})
+
+
+def score_texts(df: DataFrame, training: Column, id_col: str = "doc_id", text_col: str = "text", head: int = HEAD, rounds: int = ROUNDS, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
     """`id_col`, held_out (not `training`), n_tokens, n_known, train_tokens, base_score and score: log10 probabilities of each whole text under add-one unigrams and under the model.
 
     Tokens are runs of non-blank bytes (A-Z as a-z) and one end. A null or empty text is its end alone. Without training rows all words are unknown and both scores are 0.
@@ -324,42 +453,101 @@ def score_texts(df: DataFrame, training: Column, id_col: str = "doc_id", text_co
     counts = work.write(count_words(learned, "text"), "counts")
     model = fit(learned, "text", counts, F.col(id_col), head, rounds)
     shared = df.sparkSession.sparkContext.broadcast(model)
+    shards = 1
+    if model.total > shard_tokens:
+        size = F.coalesce(F.octet_length("text"), F.lit(0)) + 1
+        own, every = rows.agg(F.sum(F.when(F.col("training"), size)), F.sum(size)).first()
+        shards = shard_count(model.total, own / every, shard_tokens)
+    tasks = min(shards, SHARD_TASKS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
-        outer, inner = known.biases()
-        size, tail, slots = len(known.weights[0]), len(known.mass), known.slots()
+        biases, slots = known.biases(), known.slots()
+        size = len(known.weights[0])
         word_log = np.log10(known.counts + 1)
+        end_place = int(known.lookup(np.array([END]), slots)[0][0])
+        row = block = TaskContext.get().partitionId() << 40
+        held, waiting = [], 0
         for batch in batches:
             for a, b, tokens, first in _token_rows(batch.column(2)):
                 place, classes, subclasses = known.lookup(tokens, slots)
-                feats = features(tokens, first, size)
-                logs = np.empty(len(tokens))
-                for s in range(0, len(tokens), BATCH):
-                    c = classes[s : s + BATCH]
-                    p = _probabilities(known.weights[0], outer, feats[:, s : s + BATCH])
-                    chosen = p[np.arange(len(c)), c]
-                    head = np.flatnonzero(c != tail)
-                    if len(head):
-                        q = _probabilities(known.weights[1], inner[c[head]], within(feats[:, s + head], c[head], size))
-                        chosen[head] *= q[np.arange(len(head)), subclasses[s + head]]
-                    logs[s : s + BATCH] = np.log10(np.maximum(chosen, 1e-30))
+                edge = first[:-1]
                 in_head = place >= 0
                 words = np.where(in_head, word_log[place] if len(word_log) else 0.0, 0.0)
-                edge = first[:-1]
                 n_head = np.add.reduceat(in_head.astype(np.int64), edge)
                 head_log = np.add.reduceat(words, edge)
-                model_log = np.add.reduceat(logs - known.log_mass(classes, subclasses), edge)
+                logs, before = -known.log_mass(classes, subclasses), _before(tokens, first)
+                feats = _hashed(before, size)
+                if shards == 1:
+                    logs += _log_probabilities(known.weights, biases, feats, classes, subclasses)
+                model_log = np.add.reduceat(logs, edge)
                 rest = np.flatnonzero(~in_head)
                 borders = np.searchsorted(rest, first).astype(np.int32)
                 missing = pa.ListArray.from_arrays(pa.array(borders), pa.array((tokens[rest] & ~np.uint64(7)).view(np.int64)))
                 part = batch.slice(a, b - a)
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(np.diff(first), pa.int64()), pa.array(n_head), pa.array(head_log), pa.array(model_log), missing], names=["id", "training", "n_tokens", "n_head", "head_log", "model_log", "missing"])
+                texts = texts_batch([part.column(0), part.column(1), pa.array(np.diff(first), pa.int64()), pa.array(n_head), pa.array(head_log), pa.array(model_log), missing], row, (block >> 40) % tasks)
+                yield texts
+                if shards > 1:
+                    text = np.repeat(np.arange(row - block, row - block + b - a, dtype=np.uint32), np.diff(first))
+                    learn = part.column(1).to_numpy(zero_copy_only=False).astype(np.uint8)[text - np.uint32(row - block)]
+                    held.append((feats, classes.astype(np.uint8), subclasses.astype(np.uint8), _shard_of(known, before, place, first, end_place, shards), text, learn))
+                    waiting += len(tokens)
+                row += b - a
+                if waiting >= BLOCK_TOKENS:
+                    yield from packed_rows(texts.schema, held, block)
+                    held, waiting, block = [], 0, row
+        if held:
+            yield from packed_rows(texts.schema, held, block)
 
     kind = rows.schema[id_col].dataType.simpleString()
-    first = rows.select(id_col, "training", "text").mapInArrow(run, f"id {kind}, training boolean, n_tokens long, n_head long, head_log double, model_log double, missing array<long>")
-    first = work.write(first.withColumn("row", F.monotonically_increasing_id()), "scored")
-    asked = first.select("row", F.explode("missing").alias("word"))
+    columns = f"id {kind}, training boolean, n_tokens long, n_head long, head_log double, model_log double, missing array<long>"
+    names = ["id", "training", "n_tokens", "n_head", "head_log", "model_log", "missing", "row", "part", "shard", "block", "n", "runs", "data"]
+    types = {"row": pa.int64(), "part": pa.int32(), "shard": pa.int32(), "block": pa.int64(), "n": pa.int64(), "runs": pa.int64(), "data": pa.binary()}
+
+    def texts_batch(arrays: list[pa.Array], row: int, part: int) -> pa.RecordBatch:
+        n = len(arrays[0])
+        more = {"row": np.arange(row, row + n), "part": np.full(n, part, np.int32), "shard": np.full(n, -1, np.int32)}
+        return pa.RecordBatch.from_arrays([*arrays, *[pa.array(more[k], t) if k in more else pa.nulls(n, t) for k, t in types.items()]], names=names)
+
+    def packed_row(like: pa.Schema, **found) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([found.get(f.name)], f.type) for f in like], schema=like)
+
+    def packed_rows(like: pa.Schema, held: list[tuple], block: int) -> Iterator[pa.RecordBatch]:
+        for shard, n, runs, data in _pack_block(held, shards):
+            yield packed_row(like, part=shard % tasks, shard=shard, block=block, n=n, runs=runs, data=data)
+
+    def by_shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = shared.value
+        biases, held, current = known.biases(), [], -1
+
+        def sums() -> Iterator[pa.RecordBatch]:
+            for block, runs, data in _shard_sums(known, biases, held, rounds > 0):
+                yield packed_row(like, shard=current, block=block, runs=runs, data=data)
+
+        for batch in batches:
+            like = batch.schema
+            texts = batch.filter(pc.less(batch.column("shard"), 0))
+            if texts.num_rows:
+                yield texts
+            packed = batch.filter(pc.greater_equal(batch.column("shard"), 0))
+            for shard, *piece in zip(*[packed.column(k).to_pylist() for k in ("shard", "block", "n", "runs", "data")], strict=True):
+                if shard != current:
+                    yield from sums()
+                    held, current = [], shard
+                held.append(tuple(piece))
+        yield from sums()
+
+    schema = f"{columns}, row long, part int, shard int, block long, n long, runs long, data binary"
+    first = rows.select(id_col, "training", "text").mapInArrow(run, schema)
+    if shards == 1:
+        texts = first = work.write(first.select(*names[:8]), "scored")
+    else:
+        dealt = first.repartitionById(tasks, F.col("part")).sortWithinPartitions("shard", "block").mapInArrow(by_shard, schema)
+        scored = work.write(dealt.drop("part", "n"), "scored")
+        sums = scored.where("shard >= 0").select("shard", "block", "runs", "data").groupBy("block").applyInPandas(_text_sums, "row long, context_log double")
+        texts = scored.where("shard < 0").select(*names[:8])
+        first = texts.join(sums, "row").withColumn("model_log", F.col("model_log") + F.col("context_log")).drop("context_log")
+    asked = texts.select("row", F.explode("missing").alias("word"))
     found = asked.join(counts.select("word", "n"), "word").groupBy("row").agg(F.count("*").alias("tail_known"), F.sum(F.log10(F.col("n") + 1)).alias("tail_log"))
     joined = first.drop("missing").join(found, "row", "left").withColumns({"tail_known": F.coalesce("tail_known", F.lit(0)), "tail_log": F.coalesce("tail_log", F.lit(0.0))})
     norm = float(np.log10(model.total + model.distinct + 1))

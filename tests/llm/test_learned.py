@@ -387,4 +387,58 @@ def test_context_tells_frequent_words_apart(spark):
     texts = [(i, " ".join(w for _ in range(40) for w in rnd.choice(pairs))) for i in range(400)]
     rows = lm.score_texts(spark.createDataFrame(texts, "doc_id long, text string"), queries.id_remainder(7) != 2).where("held_out").collect()
     gain = sum(r.score - r.base_score for r in rows) / sum(r.n_tokens for r in rows)
-    assert gain > 0.25  # a second word of a pair costs 0.9 without context and next to nothing with it
\ No newline at end of file
+    assert gain > 0.25  # a second word of a pair costs 0.9 without context and next to nothing with it
+
+
+def test_shards_score_as_one_table(spark, corpus, odd, monkeypatch):
+    """With the same weights, texts whose positions went to many shards have the scores of the model in one piece; nothing else of a row changes, odd rows included."""
+    fit = lm.fit
+
+    def with_weights(*args, **kw):
+        model, rnd = fit(*args, **kw), np.random.default_rng(4)
+        model.weights = tuple(rnd.normal(0, 1, w.shape).astype(np.float32) for w in model.weights)
+        return model
+
+    monkeypatch.setattr(lm, "fit", with_weights)
+    monkeypatch.setattr(lm, "BLOCK_TOKENS", 700)  # several blocks in a task
+    monkeypatch.setattr(lm, "SHARD_TASKS", 5)  # several shards in a task
+    for df, head in ((corpus, 40), (odd, 1 << 18), (corpus, 0)):
+        asked = lambda n: sorted(map(tuple, lm.score_texts(df, F.col("doc_id") % 3 != 1, head=head, rounds=0, shard_tokens=n).collect()), key=lambda r: (str(r[0]), r[2]))  # noqa: B023, E731
+        whole, parts = asked(10**9), asked(300)
+        assert [r[:5] for r in whole] == [r[:5] for r in parts] and len(whole) == df.count()
+        assert all(abs(a - b) < 1e-5 * r[2] + 1e-6 * abs(a) for r, q in zip(whole, parts, strict=True) for a, b in zip(r[5:], q[5:], strict=True))
+
+
+def test_rows_grow_with_the_corpus(spark):
+    """Rows of all shards are one for so many tokens at any size, and contexts that share rows in one shard are told apart by many."""
+    assert all(lm.shard_count(n) * lm.feature_rows(n) * lm.TOKENS_PER_FEATURE >= n for n in (1, 10**6, 10**8, 10**10, 10**13)) and lm.shard_count(10**9, 0.1) > 9 * lm.shard_count(10**9)
+    rnd = random.Random(6)
+    follows = {f"c{k}": rnd.choice(["left", "right"]) for k in range(30_000)}
+    pairs = list(follows.items()) * 8
+    rnd.shuffle(pairs)
+    texts = spark.createDataFrame([(i, " ".join(w for p in pairs[k : k + 100] for w in p)) for i, k in enumerate(range(0, len(pairs), 100))], "doc_id long, text string")
+    gain = {}
+    for shard_tokens in (lm.SHARD_TOKENS, 20_000):
+        rows = lm.score_texts(texts, queries.id_remainder(7) != 2, shard_tokens=shard_tokens).where("held_out").collect()
+        gain[shard_tokens] = sum(r.score - r.base_score for r in rows) / sum(r.n_tokens for r in rows)
+    assert gain[20_000] > gain[lm.SHARD_TOKENS] + 0.03
+
+
+def test_frequent_words_fill_no_shard():
+    """Half of all tokens are one word: its contexts are dealt by three words, equal contexts stay together, and those of other words go by the last word."""
+    rnd, shards = np.random.default_rng(7), 20
+    words = lm.mix(np.arange(1, 2_001, dtype=np.uint64)) & ~np.uint64(7)
+    tokens = np.where(rnd.random(200_000) < 0.5, words[0], rnd.choice(words, 200_000))
+    tokens[-1] = lm.END
+    first = np.array([0, 100_000, 200_000])
+    head, counts = np.unique(tokens & ~np.uint64(7), return_counts=True)
+    model = lm.Model(head, np.zeros(len(head), np.int64), np.zeros(len(head), np.int64), counts.astype(float), np.ones((1, 1)), 1.0, (), len(tokens), len(head))
+    place, end = (model.lookup(t, model.slots())[0] for t in (tokens, np.array([lm.END])))
+    before = lm._before(tokens, first)
+    shard = lm._shard_of(model, before, place, first, int(end[0]), shards)
+    by_last, by_three = {}, {}
+    for s, *context in zip(shard.tolist(), *(x.tolist() for x in before), strict=True):
+        by_last.setdefault(context[0], set()).add(s)
+        assert by_three.setdefault(tuple(context), s) == s
+    assert {len(s) == 1 for w, s in by_last.items() if w != int(words[0])} == {True} and len(by_last[int(words[0])]) == shards
+    assert np.bincount(shard, minlength=shards).max() < 0.2 * len(tokens)  # half of them by the last word alone
