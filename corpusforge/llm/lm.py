@@ -357,11 +357,11 @@ def fit(texts: DataFrame, text_col: str, counts: DataFrame, pick: Column | None,
 
 
 def _shard_of(known: Model, before: list[np.ndarray], place: np.ndarray, first: np.ndarray, end_place: int, shards: int) -> np.ndarray:
-    """The shard of each position's context: by its last word, or by its last three where the last is so frequent that it would fill half a shard."""
+    """The shard of each position's context: by its last word, or by its last three where the last is so frequent that it would fill an eighth of a shard."""
     one, two, three = before
     key = mix(one + np.uint64(5))
     # where no word of the head is so frequent, none is: the head has the most frequent ones
-    frequent = np.append(known.counts > known.total / (2 * shards), False)  # the last place stands for -1
+    frequent = np.append(known.counts > known.total / (8 * shards), False)  # the last place stands for -1
     if frequent.any():
         last = np.empty(len(place), bool)
         last[1:] = frequent[place[:-1]]
@@ -389,8 +389,8 @@ def _unpack(data: bytes, kinds: list[tuple[type, int]]) -> list[np.ndarray]:
     return out
 
 
-def _pack_block(held: list[tuple], shards: int) -> Iterator[tuple[int, int, int, bytes]]:
-    """(shard, positions, runs of positions of one text, packed) of each shard that has positions in a block of texts."""
+def _pack_block(held: list[tuple], shards: int) -> Iterator[tuple[int, int, int, bytes, bytes]]:
+    """(shard, positions, runs of positions of one text, packed features, the rest packed) of each shard that has positions in a block of texts."""
     rows, classes, subclasses, shard, text, learn = (np.concatenate(x, axis=-1) for x in zip(*held, strict=True))
     order = np.argsort(shard, kind="stable")  # a shard's positions stay in the order of the texts
     edges = np.searchsorted(shard[order], np.arange(shards + 1))
@@ -399,16 +399,19 @@ def _pack_block(held: list[tuple], shards: int) -> Iterator[tuple[int, int, int,
         of = text[own]
         lead = np.flatnonzero(np.append(True, of[1:] != of[:-1]))
         sizes = np.diff(np.append(lead, len(of))).astype(np.uint32)
-        yield s, len(own), len(lead), _pack([*rows[:, own], classes[own], subclasses[own], np.diff(of[lead], prepend=np.uint32(0)), sizes, learn[own[lead]]])
+        # position by position: pairs of words come again
+        features_of = pa.Codec("zstd", compression_level=1).compress(np.ascontiguousarray(rows[:, own].T).tobytes(), asbytes=True)
+        yield s, len(own), len(lead), features_of, _pack([classes[own], subclasses[own], np.diff(of[lead], prepend=np.uint32(0)), sizes, learn[own[lead]]])
 
 
-def _unpack_block(n: int, runs: int, data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _unpack_block(n: int, runs: int, features_of: bytes, data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(features, classes, subclasses, texts of the runs, their sizes, whether they are learned from)."""
-    *rows, classes, subclasses, text, sizes, learn = _unpack(data, [(np.uint16, n)] * 4 + [(np.uint8, n)] * 2 + [(np.uint32, runs)] * 2 + [(np.uint8, runs)])
-    return np.stack(rows), classes.astype(np.int64), subclasses.astype(np.int64), np.cumsum(text, dtype=np.uint32), sizes.astype(np.int64), learn.astype(bool)
+    rows = np.frombuffer(pa.Codec("zstd").decompress(features_of, n * 8, asbytes=True), np.uint16).reshape(n, 4)
+    classes, subclasses, text, sizes, learn = _unpack(data, [(np.uint8, n)] * 2 + [(np.uint32, runs)] * 2 + [(np.uint8, runs)])
+    return np.ascontiguousarray(rows.T), classes.astype(np.int64), subclasses.astype(np.int64), np.cumsum(text, dtype=np.uint32), sizes.astype(np.int64), learn.astype(bool)
 
 
-def _shard_sums(known: Model, biases: tuple[np.ndarray, np.ndarray], held: list[tuple[int, int, int, bytes]], learning: bool) -> Iterator[tuple[int, int, bytes]]:
+def _shard_sums(known: Model, biases: tuple[np.ndarray, np.ndarray], held: list[tuple[int, int, int, bytes, bytes]], learning: bool) -> Iterator[tuple[int, int, bytes]]:
     """Weights of one shard from its training positions, then (block, runs, packed sums of log10 probabilities by text) of each of its blocks."""
     weights = [w.copy() for w in known.weights]
     if learning:
@@ -429,15 +432,13 @@ def _shard_sums(known: Model, biases: tuple[np.ndarray, np.ndarray], held: list[
         yield block, len(text), _pack([np.diff(text, prepend=np.uint32(0)), sums.astype(np.float32)])
 
 
-def _text_sums(blocks):
-    """(row, context_log) of each text of a block: the sum of what its shards sent."""
-    import pandas as pd
-
-    blocks = blocks.sort_values("shard")
-    parts = [_unpack(data, [(np.uint32, n), (np.float32, n)]) for n, data in zip(blocks["runs"], blocks["data"], strict=True)]
-    text = np.concatenate([np.cumsum(t, dtype=np.uint32) for t, _ in parts]).astype(np.int64)
-    sums = np.bincount(text, np.concatenate([x for _, x in parts]).astype(np.float64))  # every text has its end
-    return pd.DataFrame({"row": blocks["block"].iloc[0] + np.arange(len(sums)), "context_log": sums})
+def _with_sums(texts: list[pa.RecordBatch], block: int, pieces: list[tuple[int, bytes]]) -> Iterator[pa.RecordBatch]:
+    """Texts of a block, with the sums that its shards sent added to their model_log."""
+    parts = [_unpack(data, [(np.uint32, n), (np.float32, n)]) for n, data in pieces]
+    sums = np.bincount(np.concatenate([np.cumsum(t, dtype=np.uint32) for t, _ in parts]).astype(np.int64), np.concatenate([x for _, x in parts]).astype(np.float64))  # every text has its end
+    for batch in texts:
+        logs = batch.column("model_log").to_numpy() + sums[batch.column("row").to_numpy() - block]
+        yield batch.set_column(batch.schema.get_field_index("model_log"), "model_log", pa.array(logs))
 
 
 def score_texts(df: DataFrame, training: Column, id_col: str = "doc_id", text_col: str = "text", head: int = HEAD, rounds: int = ROUNDS, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
@@ -485,7 +486,7 @@ def score_texts(df: DataFrame, training: Column, id_col: str = "doc_id", text_co
                 borders = np.searchsorted(rest, first).astype(np.int32)
                 missing = pa.ListArray.from_arrays(pa.array(borders), pa.array((tokens[rest] & ~np.uint64(7)).view(np.int64)))
                 part = batch.slice(a, b - a)
-                texts = texts_batch([part.column(0), part.column(1), pa.array(np.diff(first), pa.int64()), pa.array(n_head), pa.array(head_log), pa.array(model_log), missing], row, (block >> 40) % tasks)
+                texts = texts_batch([part.column(0), part.column(1), pa.array(np.diff(first), pa.int64()), pa.array(n_head), pa.array(head_log), pa.array(model_log), missing], row, (block >> 40) % tasks, block)
                 yield texts
                 if shards > 1:
                     text = np.repeat(np.arange(row - block, row - block + b - a, dtype=np.uint32), np.diff(first))
@@ -501,20 +502,20 @@ def score_texts(df: DataFrame, training: Column, id_col: str = "doc_id", text_co
 
     kind = rows.schema[id_col].dataType.simpleString()
     columns = f"id {kind}, training boolean, n_tokens long, n_head long, head_log double, model_log double, missing array<long>"
-    names = ["id", "training", "n_tokens", "n_head", "head_log", "model_log", "missing", "row", "part", "shard", "block", "n", "runs", "data"]
-    types = {"row": pa.int64(), "part": pa.int32(), "shard": pa.int32(), "block": pa.int64(), "n": pa.int64(), "runs": pa.int64(), "data": pa.binary()}
+    names = ["id", "training", "n_tokens", "n_head", "head_log", "model_log", "missing", "row", "part", "shard", "block", "n", "runs", "features", "data"]
+    types = {"row": pa.int64(), "part": pa.int32(), "shard": pa.int32(), "block": pa.int64(), "n": pa.int64(), "runs": pa.int64(), "features": pa.binary(), "data": pa.binary()}
 
-    def texts_batch(arrays: list[pa.Array], row: int, part: int) -> pa.RecordBatch:
+    def texts_batch(arrays: list[pa.Array], row: int, part: int, block: int) -> pa.RecordBatch:
         n = len(arrays[0])
-        more = {"row": np.arange(row, row + n), "part": np.full(n, part, np.int32), "shard": np.full(n, -1, np.int32)}
+        more = {"row": np.arange(row, row + n), "part": np.full(n, part, np.int32), "shard": np.full(n, -1, np.int32), "block": np.full(n, block)}
         return pa.RecordBatch.from_arrays([*arrays, *[pa.array(more[k], t) if k in more else pa.nulls(n, t) for k, t in types.items()]], names=names)
 
     def packed_row(like: pa.Schema, **found) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array([found.get(f.name)], f.type) for f in like], schema=like)
 
     def packed_rows(like: pa.Schema, held: list[tuple], block: int) -> Iterator[pa.RecordBatch]:
-        for shard, n, runs, data in _pack_block(held, shards):
-            yield packed_row(like, part=shard % tasks, shard=shard, block=block, n=n, runs=runs, data=data)
+        for shard, n, runs, features_of, data in _pack_block(held, shards):
+            yield packed_row(like, part=shard % tasks, shard=shard, block=block, n=n, runs=runs, features=features_of, data=data)
 
     def by_shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
@@ -530,24 +531,38 @@ def score_texts(df: DataFrame, training: Column, id_col: str = "doc_id", text_co
             if texts.num_rows:
                 yield texts
             packed = batch.filter(pc.greater_equal(batch.column("shard"), 0))
-            for shard, *piece in zip(*[packed.column(k).to_pylist() for k in ("shard", "block", "n", "runs", "data")], strict=True):
+            for shard, *piece in zip(*[packed.column(k).to_pylist() for k in ("shard", "block", "n", "runs", "features", "data")], strict=True):
                 if shard != current:
                     yield from sums()
                     held, current = [], shard
                 held.append(tuple(piece))
         yield from sums()
 
-    schema = f"{columns}, row long, part int, shard int, block long, n long, runs long, data binary"
+    def by_block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts, pieces, current = [], [], None
+        for batch in batches:
+            block = batch.column("block").to_numpy()
+            edges = np.flatnonzero(np.diff(block, prepend=-1, append=-1)).tolist()
+            for a, b in zip(edges[:-1], edges[1:], strict=True):
+                if block[a] != current:
+                    if texts:
+                        yield from _with_sums(texts, current, pieces)
+                    texts, pieces, current = [], [], int(block[a])
+                part = batch.slice(a, b - a)
+                own = pc.less(part.column("shard"), 0)
+                texts.append(part.filter(own).select(names[:8]))
+                part = part.filter(pc.invert(own))
+                pieces += zip(part.column("runs").to_pylist(), part.column("data").to_pylist(), strict=True)
+        if texts:
+            yield from _with_sums(texts, current, pieces)
+
+    schema = f"{columns}, row long, part int, shard int, block long, n long, runs long, features binary, data binary"
     first = rows.select(id_col, "training", "text").mapInArrow(run, schema)
-    if shards == 1:
-        texts = first = work.write(first.select(*names[:8]), "scored")
-    else:
-        dealt = first.repartitionById(tasks, F.col("part")).sortWithinPartitions("shard", "block").mapInArrow(by_shard, schema)
-        scored = work.write(dealt.drop("part", "n"), "scored")
-        sums = scored.where("shard >= 0").select("shard", "block", "runs", "data").groupBy("block").applyInPandas(_text_sums, "row long, context_log double")
-        texts = scored.where("shard < 0").select(*names[:8])
-        first = texts.join(sums, "row").withColumn("model_log", F.col("model_log") + F.col("context_log")).drop("context_log")
-    asked = texts.select("row", F.explode("missing").alias("word"))
+    if shards > 1:
+        first = first.repartitionById(tasks, F.col("part")).sortWithinPartitions("shard", "block").mapInArrow(by_shard, schema)
+        first = first.repartition("block").sortWithinPartitions("block", "shard").mapInArrow(by_block, f"{columns}, row long")
+    first = work.write(first.select(*names[:8]), "scored")
+    asked = first.select("row", F.explode("missing").alias("word"))
     found = asked.join(counts.select("word", "n"), "word").groupBy("row").agg(F.count("*").alias("tail_known"), F.sum(F.log10(F.col("n") + 1)).alias("tail_log"))
     joined = first.drop("missing").join(found, "row", "left").withColumns({"tail_known": F.coalesce("tail_known", F.lit(0)), "tail_log": F.coalesce("tail_log", F.lit(0.0))})
     norm = float(np.log10(model.total + model.distinct + 1))
